@@ -1,4 +1,8 @@
-"""Tolerant text-to-typed expressions. Bad text becomes NULL, never an error."""
+"""Tolerant text-to-typed expressions. Bad text becomes NULL, never an error.
+
+The text conversions take a column name (or SQL expression) and are one parsed expression each,
+which keeps building a projection of many columns cheap on the driver.
+"""
 
 from __future__ import annotations
 
@@ -7,50 +11,49 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_LARGEST_DOUBLE = 1.7976931348623157e308
-_NUMBER_ENDINGS = [*"0123456789."]
-
 
-def try_long(text: Column) -> Column:
+def try_long(text: str) -> Column:
     """Whole number from text; decimals round half away from zero.
 
     The decimal detour runs only for text that is not a plain integer, so 19-digit
     identifiers stay exact and the usual case is one parse.
     """
-    rounded = F.round(text.try_cast("decimal(38,10)"))
-    return F.coalesce(text.try_cast("bigint"), rounded.try_cast("bigint"))
+    rounded = f"round(try_cast({text} AS decimal(38,10)))"
+    return F.expr(f"coalesce(try_cast({text} AS bigint), try_cast({rounded} AS bigint))")
 
 
-def strict_long(text: Column) -> Column:
+def strict_long(text: str) -> Column:
     """Whole number from text; bad text fails the job (ANSI cast)."""
-    return text.cast("bigint")
+    return F.expr(f"cast({text} AS bigint)")
 
 
-def try_double(text: Column) -> Column:
+def try_double(text: str) -> Column:
     """Finite number from text. Java-only spellings (``5d``, ``NaN``, hex) are refused."""
-    number = text.try_cast("double")
-    plain = F.right(F.trim(text), F.lit(1)).isin(_NUMBER_ENDINGS) & (F.instr(F.lower(text), "x") == 0)
-    return F.when(plain & (F.abs(number) <= _LARGEST_DOUBLE), number)
+    ends_plain = f"right(trim({text}), 1) IN ('0','1','2','3','4','5','6','7','8','9','.')"
+    finite = f"abs(try_cast({text} AS double)) <= 1.7976931348623157E308D"
+    return F.expr(
+        f"CASE WHEN {ends_plain} AND instr(lower({text}), 'x') = 0 AND {finite} THEN try_cast({text} AS double) END"
+    )
 
 
-def currency(text: Column) -> Column:
+def currency(text: str) -> Column:
     """``$1,234.50`` to 1234.5."""
-    return try_double(F.translate(text, "$,", ""))
+    return try_double(f"translate({text}, '$,', '')")
 
 
-def percent(text: Column) -> Column:
+def percent(text: str) -> Column:
     """``95%`` to 95.0."""
-    return try_double(F.translate(text, "%", ""))
+    return try_double(f"translate({text}, '%', '')")
 
 
-def equals_flag(col: Column, literal: str) -> Column:
+def equals_flag(text: str, literal: str) -> Column:
     """TRUE on equality; FALSE otherwise, also for NULL."""
-    return F.coalesce(col == literal, F.lit(False))
+    return F.coalesce(F.expr(text) == literal, F.lit(False))
 
 
-def flag(text: Column) -> Column:
+def flag(text: str) -> Column:
     """``t``/``f`` text to a boolean that is never NULL."""
-    return equals_flag(text, "t")
+    return F.expr(f"coalesce({text} = 't', false)")
 
 
 def above_flag(number: Column, threshold: float) -> Column:
@@ -76,6 +79,7 @@ def bucket_at_least(number: Column, steps: Sequence[tuple[float, str]], otherwis
     return out.otherwise(otherwise)
 
 
-def null_tokens(text: Column, tokens: Sequence[str]) -> Column:
+def null_tokens(text: str, tokens: Sequence[str]) -> Column:
     """NULL for text that is one of the tokens."""
-    return F.when(~text.isin(*tokens), text)
+    listed = ", ".join("'" + token.replace("'", "\\'") + "'" for token in tokens)
+    return F.expr(f"CASE WHEN {text} NOT IN ({listed}) THEN {text} END")

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def try_date(text: Column) -> Column:
-    """Date from ``YYYY-MM-DD`` text, NULL for anything else."""
+def try_date(text: str) -> Column:
+    """Date from a column of ``YYYY-MM-DD`` text, NULL for anything else."""
     return F.try_to_date(text, "yyyy-MM-dd")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentpulse.sources.scratch import materialize
-from rentpulse.sources.tables import overwrite_partitions, read_table, table_exists
+from rentpulse.sources.tables import drop_partitions, overwrite_partitions, read_table, table_exists
 
 
 def unseen_partitions(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,8 +27,9 @@ def incremental_load(
     """Add the unseen partitions of ``df`` to the table at ``path`` and return the table.
 
     An incoming row replaces a stored row with the same unique key in another partition; only
-    the partitions that hold such rows are rewritten, in the same write. A retry of a failed
-    load replaces the partitions it had written.
+    the partitions that hold such rows are rewritten, in the same write. Partitions left without
+    rows are dropped before it: if the write then fails, a retry still sees their replacements
+    as unseen.
     """
     spark = df.sparkSession
     keys = list(partition_by)
@@ -52,5 +53,7 @@ def incremental_load(
     touched = materialize(replaced.select(*keys).distinct(), "touched")
     kept = stored.join(touched, keys, "left_semi").join(fresh.select(*unique_key), list(unique_key), "left_anti")
     rewritten = materialize(kept, "kept")
+    emptied = touched.join(rewritten.select(*keys).distinct(), keys, "left_anti")
+    drop_partitions(spark, path, emptied)
     overwrite_partitions(fresh.unionByName(rewritten), path, keys)
     return read_table(spark, path, df.schema)

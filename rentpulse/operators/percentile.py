@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,8 +13,13 @@ _SLICES = 4096
 
 
 def _log_bin(value: Column) -> Column:
-    """Order-preserving coarse bin: about 0.14 % of the value wide, symmetric around zero."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) / F.log(F.lit(2.0)) * _BINS_PER_DOUBLING)).cast("int")
+    """Order-preserving coarse bin: about 0.14 % of the value wide, symmetric around zero.
+
+    Declared non-NULL (values are), as the join on it would otherwise push a NULL filter into
+    one of the two readers of the counts and keep them from sharing one shuffle.
+    """
+    bin_number = F.signum(value) * F.floor(F.log1p(F.abs(value)) / math.log(2) * _BINS_PER_DOUBLING)
+    return F.coalesce(bin_number.cast("int"), F.lit(0))
 
 
 def _holding_ranks(bins: DataFrame, within: list[str]) -> DataFrame:
@@ -73,7 +79,11 @@ def group_percentile(
         )
     )
     found = _holding_ranks(bins, ["__group"])
-    located = counts.join(found.drop("__n"), ["__group", "__bin"])
+    # The bounds hold by construction; naming them makes both readers of the counts need the same
+    # columns, so that the planner computes the counts once.
+    in_bin = F.col("__value").between(F.col("__from"), F.col("__to"))
+    # Hashing the few located bins per partition needs neither a sort nor a move of the counts.
+    located = counts.join(found.drop("__n").hint("shuffle_hash"), ["__group", "__bin"]).filter(in_bin)
     cell = ["__group", "__bin"]
 
     for level in range(extra_levels):
@@ -90,7 +100,7 @@ def group_percentile(
         )
         found = _holding_ranks(slices, cell)
         cell = [*cell, "__bin"]
-        located = located.select(*cell, "__value", "__n").join(found.drop("__n"), cell)
+        located = located.select(*cell, "__value", "__n").join(found.drop("__n").hint("shuffle_hash"), cell)
 
     in_cell = Window.partitionBy(*cell).orderBy("__value")
     upto = F.col("__before") + F.sum("__n").over(in_cell)

@@ -21,6 +21,7 @@ from rentpulse.operators import dedup, percentile, quality, scd2, winsorize
 from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
 from rentpulse.plans.warehouse import SCD2_CHECK_COLUMNS, SCD2_KEY, PublishedWarehouse, Warehouse
 from rentpulse.rules import RentalRules
+from rentpulse.session import apply_settings
 from rentpulse.sources import carrier, extracts, tables
 from rentpulse.sources.scratch import materialize, shared_dir
 
@@ -35,7 +36,10 @@ _QUERIES: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
-    _QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(apply_settings(spark), sf_dir)
+
+    _QUERIES[fn.__name__] = run
     return fn
 
 
@@ -53,9 +57,14 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carrier.raw_listings(spark, sf_dir)
 
 
+def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw listings as a table, because five gold tables read it; columns none needs stay NULL."""
+    stored = materialize(_raw(spark, sf_dir).select(*silver.GOLD_INPUT), "bronze")
+    return extracts.align_schema(stored, [*extracts.LISTING_COLUMNS, "city"])
+
+
 def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """Tables over bronze, which is written once because five gold tables read it."""
-    return Warehouse(materialize(_raw(spark, sf_dir), "bronze"), carrier.raw_reviews(spark, sf_dir), RULES)
+    return Warehouse(_bronze(spark, sf_dir), carrier.raw_reviews(spark, sf_dir), RULES)
 
 
 # Scalar expressions
@@ -64,27 +73,27 @@ def _warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
 @query
 def expr_try_cast(spark, sf_dir):
     return _raw(spark, sf_dir).select(
-        C.try_long(_c("id")).alias("listing_id"),
-        C.try_long(_c("minimum_nights")).alias("minimum_nights"),
-        C.try_long(_c("availability_365")).alias("availability_365"),
-        C.try_long(_c("host_since")).alias("not_a_number"),
-        C.try_double(_c("bathrooms")).alias("bathrooms"),
-        C.try_double(_c("latitude")).alias("latitude"),
-        C.try_double(_c("price")).alias("not_a_double"),
+        C.try_long("id").alias("listing_id"),
+        C.try_long("minimum_nights").alias("minimum_nights"),
+        C.try_long("availability_365").alias("availability_365"),
+        C.try_long("host_since").alias("not_a_number"),
+        C.try_double("bathrooms").alias("bathrooms"),
+        C.try_double("latitude").alias("latitude"),
+        C.try_double("price").alias("not_a_double"),
     )
 
 
 @query
 def expr_currency(spark, sf_dir):
-    return _raw(spark, sf_dir).select("id", C.currency(_c("price")).alias("price_numeric"))
+    return _raw(spark, sf_dir).select("id", C.currency("price").alias("price_numeric"))
 
 
 @query
 def expr_percent(spark, sf_dir):
     return _raw(spark, sf_dir).select(
         "id",
-        C.percent(_c("host_response_rate")).alias("response_rate"),
-        C.percent(_c("host_acceptance_rate")).alias("acceptance_rate"),
+        C.percent("host_response_rate").alias("response_rate"),
+        C.percent("host_acceptance_rate").alias("acceptance_rate"),
     )
 
 
@@ -92,41 +101,41 @@ def expr_percent(spark, sf_dir):
 def expr_bool_flag(spark, sf_dir):
     return _raw(spark, sf_dir).select(
         "id",
-        C.flag(_c("has_availability")).alias("has_availability"),
-        C.flag(_c("host_is_superhost")).alias("is_superhost"),
-        C.equals_flag(_c("room_type"), R.ENTIRE_HOME).alias("is_entire_home"),
+        C.flag("has_availability").alias("has_availability"),
+        C.flag("host_is_superhost").alias("is_superhost"),
+        C.equals_flag("room_type", R.ENTIRE_HOME).alias("is_entire_home"),
     )
 
 
 @query
 def expr_threshold_flag(spark, sf_dir):
-    days = C.try_long(_c("availability_365"))
+    days = C.try_long("availability_365")
     return _raw(spark, sf_dir).select(
         "id",
         C.above_flag(days, RULES.high_availability_days).alias("is_high_availability"),
-        C.above_flag(C.try_long(_c("calculated_host_listings_count")), 1).alias("is_multihost"),
+        C.above_flag(C.try_long("calculated_host_listings_count"), 1).alias("is_multihost"),
     )
 
 
 @query
 def expr_bucket_availability(spark, sf_dir):
-    days = C.try_long(_c("availability_365"))
+    days = C.try_long("availability_365")
     return _raw(spark, sf_dir).select("id", silver.availability_profile(days, RULES).alias("availability_profile"))
 
 
 @query
 def expr_bucket_host(spark, sf_dir):
-    homes = C.try_long(_c("calculated_host_listings_count_entire_homes"))
+    homes = C.try_long("calculated_host_listings_count_entire_homes")
     return _raw(spark, sf_dir).select("id", silver.host_profile(homes, RULES).alias("host_profile"))
 
 
 @query
 def expr_is_active(spark, sf_dir):
     active = facts.is_active(
-        C.currency(_c("price")),
-        C.try_long(_c("availability_365")),
-        C.try_long(_c("number_of_reviews_ltm")),
-        D.try_date(_c("last_review")),
+        C.currency("price"),
+        C.try_long("availability_365"),
+        C.try_long("number_of_reviews_ltm"),
+        D.try_date("last_review"),
         RULES,
     )
     return _raw(spark, sf_dir).select("id", active.alias("is_active_listing"))
@@ -141,27 +150,27 @@ def expr_trim(spark, sf_dir):
 def expr_try_date(spark, sf_dir):
     return _raw(spark, sf_dir).select(
         "id",
-        D.try_date(_c("host_since")).alias("host_since"),
-        D.try_date(_c("last_scraped")).alias("last_scraped"),
-        D.try_date(_c("last_review")).alias("last_review"),
+        D.try_date("host_since").alias("host_since"),
+        D.try_date("last_scraped").alias("last_scraped"),
+        D.try_date("last_review").alias("last_review"),
     )
 
 
 @query
 def expr_years_since(spark, sf_dir):
-    since = D.try_date(_c("host_since"))
+    since = D.try_date("host_since")
     return _raw(spark, sf_dir).select("id", D.years_between(since, RULES.today).alias("seniority_years"))
 
 
 @query
 def expr_days_since(spark, sf_dir):
-    last = D.try_date(_c("last_review"))
+    last = D.try_date("last_review")
     return _raw(spark, sf_dir).select("id", D.days_between(last, RULES.today).alias("days_since"))
 
 
 @query
 def expr_date_parts(spark, sf_dir):
-    day = D.try_date(_c("date"))
+    day = D.try_date("date")
     return carrier.raw_reviews(spark, sf_dir).select(
         "id",
         F.year(day).alias("review_year"),
@@ -172,7 +181,7 @@ def expr_date_parts(spark, sf_dir):
 
 @query
 def expr_safe_divide(spark, sf_dir):
-    per_person = safe_divide(C.currency(_c("price")), C.try_long(_c("accommodates")))
+    per_person = safe_divide(C.currency("price"), C.try_long("accommodates"))
     return rounded(_raw(spark, sf_dir).select("id", per_person.alias("price_per_person")))
 
 
@@ -255,7 +264,7 @@ def stg_reviews(spark, sf_dir):
 
 @query
 def winsorize_p95(spark, sf_dir):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    lines = carrier.read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice"
     )
     return rounded(winsorize.winsorize(lines, "l_extendedprice", ["l_returnflag"], 0.95, "price_winsorized"))
@@ -263,7 +272,7 @@ def winsorize_p95(spark, sf_dir):
 
 @query
 def agg_percentile(spark, sf_dir):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lines = carrier.read_table(spark, sf_dir, "lineitem")
     keys = ["l_returnflag", "l_linestatus"]
     return rounded(percentile.group_percentile(lines, keys, "l_extendedprice", 0.95, "p95_price"))
 
@@ -274,9 +283,9 @@ def agg_composite_score(spark, sf_dir):
     typed = raw.select(
         "city",
         F.trim("neighbourhood_cleansed").alias("neighbourhood_cleansed"),
-        C.equals_flag(_c("room_type"), R.ENTIRE_HOME).alias("is_entire_home"),
-        C.above_flag(C.try_long(_c("availability_365")), RULES.high_availability_days).alias("is_high_availability"),
-        silver.host_profile(C.try_long(_c("calculated_host_listings_count_entire_homes")), RULES).alias(
+        C.equals_flag("room_type", R.ENTIRE_HOME).alias("is_entire_home"),
+        C.above_flag(C.try_long("availability_365"), RULES.high_availability_days).alias("is_high_availability"),
+        silver.host_profile(C.try_long("calculated_host_listings_count_entire_homes"), RULES).alias(
             "host_profile"
         ),
     )
@@ -342,7 +351,7 @@ def dedup_host(spark, sf_dir):
 @query
 def dedup_listing(spark, sf_dir):
     rows = _raw(spark, sf_dir).select(
-        C.try_long(_c("id")).alias("listing_id"), D.try_date(_c("last_scraped")).alias("snapshot_date"), "city"
+        C.try_long("id").alias("listing_id"), D.try_date("last_scraped").alias("snapshot_date"), "city"
     )
     return dedup.keep_first(rows, ["listing_id"], [F.desc_nulls_last("snapshot_date"), F.asc("city")])
 
@@ -364,7 +373,7 @@ def fact_reviews_monthly(spark, sf_dir):
 @query
 def latest_window(spark, sf_dir):
     rows = _raw(spark, sf_dir).select(
-        C.try_long(_c("id")).alias("listing_id"), D.try_date(_c("last_scraped")).alias("snapshot_date"), "city"
+        C.try_long("id").alias("listing_id"), D.try_date("last_scraped").alias("snapshot_date"), "city"
     )
     return dedup.latest_window(rows, "city", "listing_id", "snapshot_date", RULES.window_days)
 
@@ -372,7 +381,7 @@ def latest_window(spark, sf_dir):
 def _loads(spark: SparkSession, sf_dir: str, *, both: bool) -> DataFrame:
     """The stored fact after a load without one city, and after a second load of all cities."""
     root = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
-    raw, reviews = materialize(_raw(spark, sf_dir), "bronze"), carrier.raw_reviews(spark, sf_dir)
+    raw, reviews = _bronze(spark, sf_dir), carrier.raw_reviews(spark, sf_dir)
     first = PublishedWarehouse(root, raw.filter(_c("city") != "mallorca"), reviews, RULES).fact_listings
     return rounded(PublishedWarehouse(root, raw, reviews, RULES).fact_listings if both else first)
 

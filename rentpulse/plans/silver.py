@@ -14,6 +14,34 @@ from rentpulse.rules import RentalRules
 
 _c = F.col
 
+# The raw columns that dimensions, facts and marts depend on.
+GOLD_INPUT = [
+    "id",
+    "last_scraped",
+    "name",
+    "host_id",
+    "host_name",
+    "host_since",
+    "host_is_superhost",
+    "neighbourhood_cleansed",
+    "latitude",
+    "longitude",
+    "property_type",
+    "room_type",
+    "accommodates",
+    "price",
+    "availability_365",
+    "number_of_reviews_ltm",
+    "estimated_occupancy_l365d",
+    "estimated_revenue_l365d",
+    "last_review",
+    "review_scores_rating",
+    "calculated_host_listings_count",
+    "calculated_host_listings_count_entire_homes",
+    "reviews_per_month",
+    "city",
+]
+
 
 def _named(columns: dict[str, Column]) -> list[Column]:
     return [expr.alias(name) for name, expr in columns.items()]
@@ -21,18 +49,18 @@ def _named(columns: dict[str, Column]) -> list[Column]:
 
 def _detail_columns() -> dict[str, Column]:
     return {
-        "listing_id": C.strict_long(_c("id")),
+        "listing_id": C.strict_long("id"),
         "name": _c("name"),
         "property_type": _c("property_type"),
         "room_type": _c("room_type"),
-        "is_entire_home": C.equals_flag(_c("room_type"), R.ENTIRE_HOME),
-        "accommodates": C.try_long(_c("accommodates")),
-        "bedrooms": C.try_double(_c("bedrooms")),
-        "beds": C.try_double(_c("beds")),
-        "bathrooms": C.try_double(_c("bathrooms")),
+        "is_entire_home": C.equals_flag("room_type", R.ENTIRE_HOME),
+        "accommodates": C.try_long("accommodates"),
+        "bedrooms": C.try_double("bedrooms"),
+        "beds": C.try_double("beds"),
+        "bathrooms": C.try_double("bathrooms"),
         "bathrooms_text": _c("bathrooms_text"),
         "amenities": _c("amenities"),
-        "instant_bookable": C.flag(_c("instant_bookable")),
+        "instant_bookable": C.flag("instant_bookable"),
         "license": _c("license"),
         "city": _c("city"),
     }
@@ -55,24 +83,24 @@ def availability_profile(days: Column, rules: RentalRules) -> Column:
 
 
 def _host_columns(rules: RentalRules) -> dict[str, Column]:
-    since = D.try_date(_c("host_since"))
-    entire_homes = C.try_long(_c("calculated_host_listings_count_entire_homes"))
+    since = D.try_date("host_since")
+    entire_homes = C.try_long("calculated_host_listings_count_entire_homes")
     return {
-        "host_id": C.try_long(_c("host_id")),
-        "listing_id": C.try_long(_c("id")),
+        "host_id": C.try_long("host_id"),
+        "listing_id": C.try_long("id"),
         "host_name": _c("host_name"),
         "host_since": since,
         "host_seniority_years": D.years_between(since, rules.today),
-        "host_is_superhost": C.flag(_c("host_is_superhost")),
+        "host_is_superhost": C.flag("host_is_superhost"),
         "host_response_time": _c("host_response_time"),
-        "host_response_rate": C.percent(_c("host_response_rate")),
-        "host_acceptance_rate": C.percent(_c("host_acceptance_rate")),
-        "host_has_profile_pic": C.flag(_c("host_has_profile_pic")),
-        "host_identity_verified": C.flag(_c("host_identity_verified")),
-        "calculated_host_listings_count": C.try_long(_c("calculated_host_listings_count")),
+        "host_response_rate": C.percent("host_response_rate"),
+        "host_acceptance_rate": C.percent("host_acceptance_rate"),
+        "host_has_profile_pic": C.flag("host_has_profile_pic"),
+        "host_identity_verified": C.flag("host_identity_verified"),
+        "calculated_host_listings_count": C.try_long("calculated_host_listings_count"),
         "calc_listings_entire_homes": entire_homes,
-        "calc_listings_private_rooms": C.try_long(_c("calculated_host_listings_count_private_rooms")),
-        "calc_listings_shared_rooms": C.try_long(_c("calculated_host_listings_count_shared_rooms")),
+        "calc_listings_private_rooms": C.try_long("calculated_host_listings_count_private_rooms"),
+        "calc_listings_shared_rooms": C.try_long("calculated_host_listings_count_shared_rooms"),
         "host_profile": host_profile(entire_homes, rules),
         "city": _c("city"),
     }
@@ -80,48 +108,48 @@ def _host_columns(rules: RentalRules) -> dict[str, Column]:
 
 def _location_columns() -> dict[str, Column]:
     return {
-        "listing_id": C.try_long(_c("id")),
+        "listing_id": C.try_long("id"),
         "neighbourhood_cleansed": F.trim(_c("neighbourhood_cleansed")),
-        "latitude": C.try_double(_c("latitude")),
-        "longitude": C.try_double(_c("longitude")),
+        "latitude": C.try_double("latitude"),
+        "longitude": C.try_double("longitude"),
         "city": _c("city"),
     }
 
 
 def _review_score_columns(rules: RentalRules) -> dict[str, Column]:
-    last_review = D.try_date(_c("last_review"))
+    last_review = D.try_date("last_review")
     counts = ["number_of_reviews", "number_of_reviews_ltm", "number_of_reviews_l30d", "number_of_reviews_ly"]
     scores = ["rating", "accuracy", "cleanliness", "checkin", "communication", "location", "value"]
     return {
-        "listing_id": C.try_long(_c("id")),
-        **{name: C.try_long(_c(name)) for name in counts},
-        "reviews_per_month": C.try_double(_c("reviews_per_month")),
-        "first_review": D.try_date(_c("first_review")),
+        "listing_id": C.try_long("id"),
+        **{name: C.try_long(name) for name in counts},
+        "reviews_per_month": C.try_double("reviews_per_month"),
+        "first_review": D.try_date("first_review"),
         "last_review": last_review,
         "days_since_last_review": D.days_between(last_review, rules.today),
-        **{f"review_scores_{name}": C.try_double(_c(f"review_scores_{name}")) for name in scores},
+        **{f"review_scores_{name}": C.try_double(f"review_scores_{name}") for name in scores},
         "city": _c("city"),
     }
 
 
 def _availability_columns(rules: RentalRules) -> dict[str, Column]:
-    days = C.try_long(_c("availability_365"))
+    days = C.try_long("availability_365")
     return {
-        "listing_id": C.try_long(_c("id")),
+        "listing_id": C.try_long("id"),
         "price_raw": _c("price"),
-        "price_numeric": C.currency(_c("price")),
-        "minimum_nights": C.try_long(_c("minimum_nights")),
-        "maximum_nights": C.try_long(_c("maximum_nights")),
-        "has_availability": C.flag(_c("has_availability")),
-        "availability_30": C.try_long(_c("availability_30")),
-        "availability_60": C.try_long(_c("availability_60")),
-        "availability_90": C.try_long(_c("availability_90")),
+        "price_numeric": C.currency("price"),
+        "minimum_nights": C.try_long("minimum_nights"),
+        "maximum_nights": C.try_long("maximum_nights"),
+        "has_availability": C.flag("has_availability"),
+        "availability_30": C.try_long("availability_30"),
+        "availability_60": C.try_long("availability_60"),
+        "availability_90": C.try_long("availability_90"),
         "availability_365": days,
         "is_high_availability": C.above_flag(days, rules.high_availability_days),
         "availability_profile": availability_profile(days, rules),
-        "estimated_occupancy_l365d": C.try_double(_c("estimated_occupancy_l365d")),
-        "estimated_revenue_l365d": C.currency(_c("estimated_revenue_l365d")),
-        "last_scraped": D.try_date(_c("last_scraped")),
+        "estimated_occupancy_l365d": C.try_double("estimated_occupancy_l365d"),
+        "estimated_revenue_l365d": C.currency("estimated_revenue_l365d"),
+        "last_scraped": D.try_date("last_scraped"),
         "city": _c("city"),
     }
 
@@ -139,7 +167,7 @@ def _with_capped_price(df: DataFrame, caps: DataFrame) -> DataFrame:
 
 def price_caps(raw: DataFrame, rules: RentalRules) -> DataFrame:
     """The winsorization cap per city over all its raw rows (small written table)."""
-    prices = raw.select("city", C.currency(_c("price")).alias("price_numeric"))
+    prices = raw.select("city", C.currency("price").alias("price_numeric"))
     return group_caps(prices, ["city"], "price_numeric", rules.cap_percentile, "price_cap")
 
 
@@ -180,7 +208,7 @@ AVAILABILITY_OUTPUT = [
 
 def stg_availability(raw: DataFrame, rules: RentalRules, caps: DataFrame | None = None) -> DataFrame:
     caps = price_caps(raw, rules) if caps is None else caps
-    typed = raw.select(*_named(_availability_columns(rules)), C.try_long(_c("accommodates")).alias("__accommodates"))
+    typed = raw.select(*_named(_availability_columns(rules)), C.try_long("accommodates").alias("__accommodates"))
     return _with_capped_price(typed, caps).select(*AVAILABILITY_OUTPUT)
 
 
@@ -189,11 +217,11 @@ def stg_review_scores(raw: DataFrame, rules: RentalRules) -> DataFrame:
 
 
 def stg_reviews(raw: DataFrame) -> DataFrame:
-    day = D.try_date(_c("date"))
+    day = D.try_date("date")
     return raw.select(
-        C.try_long(_c("id")).alias("review_id"),
-        C.try_long(_c("listing_id")).alias("listing_id"),
-        C.try_long(_c("reviewer_id")).alias("reviewer_id"),
+        C.try_long("id").alias("review_id"),
+        C.try_long("listing_id").alias("listing_id"),
+        C.try_long("reviewer_id").alias("reviewer_id"),
         day.alias("review_date"),
         F.year(day).alias("review_year"),
         F.month(day).alias("review_month"),
@@ -215,8 +243,8 @@ def wide_listings(raw: DataFrame, rules: RentalRules, caps: DataFrame) -> DataFr
         **_location_columns(),
         **_review_score_columns(rules),
         **_availability_columns(rules),
-        "listing_id": C.strict_long(_c("id")),
-        "__accommodates": C.try_long(_c("accommodates")),
+        "listing_id": C.strict_long("id"),
+        "__accommodates": C.try_long("accommodates"),
     }
     wide = _with_capped_price(raw.select(*_named(columns)), caps)
     return wide.withColumnRenamed("last_scraped", "snapshot_date").drop("price_cap", "__accommodates")

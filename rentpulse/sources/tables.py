@@ -46,6 +46,19 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def drop_partitions(spark: SparkSession, path: str, partitions: DataFrame) -> None:
+    """Remove the partition folders of a table that ``partitions`` names by their key columns.
+
+    Only folder names reach the driver, which lists them for every read anyway.
+    """
+    keys = partitions.columns
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
+    folders = read_table(spark, path).select(*keys, folder).join(partitions, keys, "left_semi")
+    for row in folders.select("folder").distinct().toLocalIterator():
+        jvm_path, fs = _path(spark, spark._jvm.java.net.URI(row.folder))
+        fs.delete(jvm_path, True)
+
+
 def reload_group(
     df: DataFrame, path: str, group_col: str, groups: Sequence[str], *, allow_empty: bool = False
 ) -> dict[str, int]:
