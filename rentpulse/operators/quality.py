@@ -52,7 +52,7 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
 
 def _one_decimal(number: Column) -> Column:
-    return F.format_string("%.1f", stable_round(number, 1))
+    return F.when(number.isNotNull(), F.format_string("%.1f", stable_round(number, 1)))
 
 
 def count_reconciliation(

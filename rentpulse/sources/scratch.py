@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _DIR_KEY = "spark.checkpoint.dir"
+_local_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,9 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{_DIR_KEY} must name a folder that all executors share")
-    created = tempfile.mkdtemp(prefix="rentpulse-")
-    spark.conf.set(_DIR_KEY, created)
-    return created
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="rentpulse-")
+    return _local_dirs[app]
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -69,11 +69,13 @@ def reload_group(
     partition shall go. Returns the loaded rows per group.
     """
     spark = df.sparkSession
-    observed = Observation()
-    counts = [F.count_if(F.col(group_col) == g).alias(f"n{i}") for i, g in enumerate(groups)]
-    incoming = df.filter(F.col(group_col).isin(*groups)).observe(observed, *counts)
-    overwrite_partitions(incoming, path, [group_col])
-    loaded = {g: observed.get[f"n{i}"] for i, g in enumerate(groups)}
+    loaded = dict.fromkeys(groups, 0)
+    incoming = df.filter(F.col(group_col).isin(*groups))
+    if not incoming.isEmpty():
+        observed = Observation()
+        counts = [F.count_if(F.col(group_col) == g).alias(f"n{i}") for i, g in enumerate(groups)]
+        overwrite_partitions(incoming.observe(observed, *counts), path, [group_col])
+        loaded = {g: observed.get[f"n{i}"] for i, g in enumerate(groups)}
 
     empty = [g for g, n in loaded.items() if n == 0]
     if empty and not allow_empty:
@@ -100,17 +102,17 @@ class ExportResult:
 def export_tables(tables: Mapping[str, DataFrame], out_dir: str) -> list[ExportResult]:
     """Write each table as snappy Parquet with lower-case columns.
 
-    A failing table is reported and does not stop the others. Row counts are observed in the
-    writing job itself.
+    A failing table is reported and does not stop the others. Row counts come from the footers
+    of the written files.
     """
     results = []
     for name, df in tables.items():
         path = f"{out_dir}/{name}.parquet"
-        observed = Observation()
-        lowered = df.toDF(*[c.lower() for c in df.columns]).observe(observed, F.count(F.lit(1)).alias("rows"))
         try:
+            lowered = df.toDF(*[c.lower() for c in df.columns])
             lowered.write.mode("overwrite").option("compression", "snappy").parquet(path)
-            results.append(ExportResult(name, observed.get["rows"], table_bytes(df.sparkSession, path)))
+            written = read_table(df.sparkSession, path, lowered.schema).count()
+            results.append(ExportResult(name, written, table_bytes(df.sparkSession, path)))
         except Exception as error:  # noqa: BLE001 - any failure of one table is part of the report
             results.append(ExportResult(name, 0, 0, str(error)))
     return results
