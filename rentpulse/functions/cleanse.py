@@ -38,12 +38,12 @@ def try_double(text: str) -> Column:
 
 def currency(text: str) -> Column:
     """``$1,234.50`` to 1234.5."""
-    return try_double(f"translate({text}, '$,', '')")
+    return try_double(f"replace(replace({text}, '$', ''), ',', '')")
 
 
 def percent(text: str) -> Column:
     """``95%`` to 95.0."""
-    return try_double(f"translate({text}, '%', '')")
+    return try_double(f"replace({text}, '%', '')")
 
 
 def equals_flag(text: str, literal: str) -> Column:

@@ -27,8 +27,8 @@ def latest_dates(df: DataFrame, group: str, date: str, out: str) -> DataFrame:
     return materialize(df.groupBy(group).agg(F.max(date).alias(out)), "latest")
 
 
-def latest_window(df: DataFrame, group: str, key: str, date: str, days: int) -> DataFrame:
-    """Rows within ``days`` of their group's latest date, the newest row per (group, key).
+def within_latest(df: DataFrame, group: str, date: str, days: int) -> DataFrame:
+    """Rows dated within ``days`` of their group's latest date.
 
     A snapshot is collected over several days, so the exact latest date would keep a sliver.
     The per-group maximum is aggregated and joined back: a window over the group would pull
@@ -36,5 +36,14 @@ def latest_window(df: DataFrame, group: str, key: str, date: str, days: int) ->
     """
     newest = latest_dates(df, group, date, "__latest").withColumnRenamed(group, "__group")
     in_window = F.col(date) >= F.date_sub("__latest", days)
-    recent = df.join(newest, F.col(group).eqNullSafe(F.col("__group")) & in_window).select(df.columns)
-    return keep_first(recent, [group, key], [F.col(date).desc_nulls_last()])
+    return df.join(newest, F.col(group).eqNullSafe(F.col("__group")) & in_window).select(df.columns)
+
+
+def newest_per_key(df: DataFrame, group: str, key: str, date: str) -> DataFrame:
+    """The newest row per (group, key)."""
+    return keep_first(df, [group, key], [F.col(date).desc_nulls_last()])
+
+
+def latest_window(df: DataFrame, group: str, key: str, date: str, days: int) -> DataFrame:
+    """The latest snapshot of every group, one row per (group, key)."""
+    return newest_per_key(within_latest(df, group, date, days), group, key, date)

@@ -15,9 +15,10 @@ def unseen_partitions(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -
     """Rows whose key combination does not occur in ``existing``.
 
     The check is per combination, so a group that arrives with an older date than another
-    group's latest is still loaded. Rows with a NULL key never count as seen.
+    group's latest is still loaded. Rows with a NULL key never count as seen. The combinations
+    are written first: their size is then known and decides how they are joined.
     """
-    seen = existing.select(*keys).distinct()
+    seen = materialize(existing.select(*keys).distinct(), "seen")
     return df.join(seen, list(keys), "left_anti")
 
 
@@ -44,8 +45,7 @@ def incremental_load(
         return read_table(spark, path, df.schema)
 
     stored = read_table(spark, path, df.schema)
-    seen = materialize(stored.select(*keys).distinct(), "seen")
-    fresh = materialize(df.join(seen, keys, "left_anti"), "fresh")
+    fresh = materialize(unseen_partitions(df, stored, keys), "fresh")
 
     shared = [key for key in keys if key in unique_key]
     same_dates = stored.join(fresh.select(*shared).distinct(), shared, "left_semi") if shared else stored

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rentpulse import rules as R
 from rentpulse.functions.numeric import safe_divide, share_pct, stable_round, weighted_score
-from rentpulse.operators.dedup import latest_window
+from rentpulse.operators.dedup import newest_per_key, within_latest
 from rentpulse.operators.percentile import group_median
 from rentpulse.plans.dims import is_assigned
 from rentpulse.rules import RentalRules
@@ -18,11 +18,12 @@ from rentpulse.rules import RentalRules
 def window_listings(fact: DataFrame, dim_listing: DataFrame, rules: RentalRules) -> DataFrame:
     """Each city's latest snapshot, one row per listing, with its neighbourhood name.
 
-    All marts and the reconciliation read this one table.
+    All marts and the reconciliation read this one table. Joining before the de-duplication lets
+    a shuffled join's partitioning by listing serve the de-duplication too.
     """
-    latest = latest_window(fact, "city", "listing_id", "snapshot_date", rules.window_days)
+    recent = within_latest(fact, "city", "snapshot_date", rules.window_days)
     names = dim_listing.select("listing_id", "neighbourhood_cleansed")
-    return latest.join(names, "listing_id", "left")
+    return newest_per_key(recent.join(names, "listing_id", "left"), "city", "listing_id", "snapshot_date")
 
 
 def assigned(listings: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rentpulse.functions.dates import try_date
 from rentpulse.operators.incremental import incremental_load, unseen_partitions
 from rentpulse.operators.scd2 import scd2_apply, scd2_first_load
 from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
@@ -170,10 +171,12 @@ class PublishedWarehouse(Warehouse):
         de-duplication, so a load costs what is new rather than the whole history.
         """
         path = f"{self.root}/fact_listings"
-        rows = self.wide
+        raw = self.raw_listings
         if T.table_exists(self.spark, path):
             stored = T.read_table(self.spark, path)
-            rows = unseen_partitions(rows, stored, facts.FACT_PARTITIONS)
+            dated = raw.withColumn("snapshot_date", try_date("last_scraped"))
+            raw = unseen_partitions(dated, stored, facts.FACT_PARTITIONS).drop("snapshot_date")
+        rows = silver.wide_listings(raw, self.rules, self.price_caps)
         fact = facts.fact_listings(rows, self.dim_host, self.rules)
         return incremental_load(fact, path, facts.FACT_PARTITIONS, facts.FACT_KEYS)
 
