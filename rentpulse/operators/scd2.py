@@ -21,20 +21,17 @@ def scd2_first_load(dim: DataFrame, as_of: dt.date) -> DataFrame:
     )
 
 
-def scd2_apply(
-    history: DataFrame, dim: DataFrame, key: str, check_cols: Sequence[str], as_of: dt.date
+def scd2_step(
+    open_versions: DataFrame, dim: DataFrame, key: str, check_cols: Sequence[str], as_of: dt.date
 ) -> DataFrame:
-    """The history after seeing ``dim`` on ``as_of``.
+    """What the open versions become when ``dim`` is seen on ``as_of``.
 
     Changed keys close their version and open a new one, vanished keys close, new and returning
     keys open; unchanged keys keep their stored row. Only ``check_cols`` count as a change. One
-    full outer join of the open versions with the dimension yields all cases; closed versions
-    pass through untouched, so the join does not grow with the length of the history.
+    full outer join yields all cases.
     """
     attributes = dim.columns
-    stored = history.filter("is_current").select(
-        F.col(key).alias("__key"), F.struct(*history.columns).alias("__old")
-    )
+    stored = open_versions.select(F.col(key).alias("__key"), F.struct(*open_versions.columns).alias("__old"))
     incoming = dim.select(F.col(key).alias("__key"), F.struct(*attributes).alias("__new"))
 
     changed = F.lit(False)
@@ -61,11 +58,19 @@ def scd2_apply(
         .when(changed, F.array(closed, opened))
         .otherwise(F.array(kept))
     )
-    live = (
+    return (
         stored.join(incoming, "__key", "full_outer")
         .select(F.explode(versions).alias("__version"))
         .select(*[F.col(f"__version.{c}").alias(c) for c in (*attributes, *_VALIDITY)])
     )
+
+
+def scd2_apply(
+    history: DataFrame, dim: DataFrame, key: str, check_cols: Sequence[str], as_of: dt.date
+) -> DataFrame:
+    """The whole history after seeing ``dim``: closed versions pass through untouched, so the join
+    does not grow with the length of the history."""
+    live = scd2_step(scd2_current(history), dim, key, check_cols, as_of)
     return history.filter(~F.col("is_current")).unionByName(live)
 
 

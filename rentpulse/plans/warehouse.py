@@ -7,10 +7,11 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from rentpulse.functions.dates import try_date
 from rentpulse.operators.incremental import incremental_load, unseen_partitions
-from rentpulse.operators.scd2 import scd2_apply, scd2_first_load
+from rentpulse.operators.scd2 import scd2_first_load, scd2_step
 from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
 from rentpulse.rules import RentalRules
 from rentpulse.sources import tables as T
@@ -75,7 +76,7 @@ class Warehouse:
 
     @cached_property
     def dim_listing(self) -> DataFrame:
-        return materialize(dims.dim_listing(self.wide), "dim_listing")
+        return dims.dim_listing(self.wide)
 
     @cached_property
     def dim_host(self) -> DataFrame:
@@ -181,21 +182,25 @@ class PublishedWarehouse(Warehouse):
         return incremental_load(fact, path, facts.FACT_PARTITIONS, facts.FACT_KEYS)
 
     def host_history(self, as_of: dt.date) -> DataFrame:
-        """Apply the current host dimension to the stored history as a new version of it.
+        """Apply the current host dimension to the stored history and return the new history.
 
-        A version is complete once its success marker exists; readers take the newest complete
-        one, and no run overwrites what it reads.
+        Each run writes one folder with all open versions and the versions it closed; older closed
+        versions stay where they are, so a run costs the size of the dimension and not that of the
+        history. A folder counts once its success marker exists, and no run overwrites what it reads.
         """
         base = f"{self.root}/dim_host_snapshot"
-        version = T.latest_version(self.spark, base)
-        if version is None:
-            history = scd2_first_load(self.dim_host, as_of)
-        else:
-            stored = T.read_table(self.spark, T.version_path(base, version))
-            history = scd2_apply(stored, self.dim_host, SCD2_KEY, SCD2_CHECK_COLUMNS, as_of)
-        path = T.version_path(base, (version or 0) + 1)
-        history.write.mode("overwrite").parquet(path)
-        return T.read_table(self.spark, path, history.schema)
+        done = T.complete_versions(self.spark, base)
+        step = scd2_first_load(self.dim_host, as_of)
+        columns = step.columns
+        stored = self.spark.read.schema(step.schema.add("version", IntegerType()))
+        if done:
+            opened = stored.parquet(base).filter((F.col("version") == done[-1]) & F.col("is_current"))
+            step = scd2_step(opened.select(columns), self.dim_host, SCD2_KEY, SCD2_CHECK_COLUMNS, as_of)
+        done.append(done[-1] + 1 if done else 1)
+        step.write.mode("overwrite").partitionBy("is_current").parquet(T.version_path(base, done[-1]))
+        is_open = (F.col("version") == done[-1]) & F.col("is_current")
+        is_closed = F.col("version").isin(done) & ~F.col("is_current")
+        return stored.parquet(base).filter(is_open | is_closed).select(columns)
 
     def build(self, as_of: dt.date) -> DataFrame:
         """Publish every gold table and return the failed checks as (check_name, table_name, detail)."""

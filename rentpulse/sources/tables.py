@@ -139,14 +139,14 @@ def null_counts_by_group(df: DataFrame, group: str, col: str) -> DataFrame:
 
 
 def version_path(base: str, version: int) -> str:
-    return f"{base}/v{version:06d}"
+    return f"{base}/version={version}"
 
 
-def latest_version(spark: SparkSession, base: str) -> int | None:
-    """The newest version folder that carries a success marker."""
+def complete_versions(spark: SparkSession, base: str) -> list[int]:
+    """The version folders that carry a success marker, oldest first."""
     if not table_exists(spark, base):
-        return None
+        return []
     jvm_path, fs = _path(spark, base)
     names = [status.getPath().getName() for status in fs.listStatus(jvm_path)]
-    complete = [int(n[1:]) for n in names if n.startswith("v") and table_exists(spark, f"{base}/{n}/_SUCCESS")]
-    return max(complete, default=None)
+    found = [n for n in names if n.startswith("version=") and table_exists(spark, f"{base}/{n}/_SUCCESS")]
+    return sorted(int(n.removeprefix("version=")) for n in found)

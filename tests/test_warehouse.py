@@ -162,8 +162,8 @@ def test_published_build_is_idempotent_and_keeps_history(spark, tmp_path):
         for t in ("stg_details", "stg_host", "stg_location", "stg_availability", "stg_review_scores")
     }
     assert later.fact_listings.count() == 3
-    history = spark.read.parquet(f"{tmp_path}/dim_host_snapshot/v000004")
-    assert history.filter("not is_current").count() == 1
+    history = later.host_history(dt.date(2026, 10, 1))
+    assert sorted((r.host_id, r.is_current) for r in history.collect()) == [(10, False), (10, True), (11, True)]
     assert later.mart_city_comparison.first().total_listings == 1
 
     results = later.export(str(tmp_path / "export"))
