@@ -11,12 +11,12 @@ vector per language and task: the model has languages x DIMENSIONS numbers, what
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
@@ -140,8 +140,8 @@ def unit(vector: np.ndarray) -> np.ndarray:
     return vector / length if length else vector
 
 
-def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of every row, with lang_pred and score.
+def judge(prototypes: dict[str, np.ndarray]) -> Callable[[Column], Column]:
+    """Column function: text to a struct of lang_pred and score.
 
     ``score`` is the cosine with the winning prototype, 0 if negative; a tie goes to the first
     language in code-point order. Text that is NULL or has no letter, and any text when nothing was
@@ -165,4 +165,4 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], keep: list[str])
                 out.append((languages[k], float(min(1.0, max(0.0, near[k])))))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
-    return docs.withColumn("_best", best("text")).select(*keep, "_best.lang_pred", "_best.score")
+    return best

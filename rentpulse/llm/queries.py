@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentpulse.llm import byte_bpe, language_id, source_mix
-from rentpulse.llm.common import crc_remainder, read_table, whole_text
+from rentpulse.llm import byte_bpe, language_id, setsketch, source_mix, suffix_dedup
+from rentpulse.llm.common import crc_remainder, read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -30,6 +30,11 @@ def ship_code(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(archive)
 
 
+def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "_cut.n_bytes", "_cut.n_removed", "_cut.n_spans", F.sha2("_cut.kept", 256).alias("kept_sha256"))
+
+
 def source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,25 +44,31 @@ def language_id_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", crc_remainder("doc_id", 4) == 2)
     prototypes = language_id.train(docs.filter("NOT held_out"))
-    return language_id.predict(docs, prototypes, ["doc_id", "held_out"])
+    judged = docs.withColumn("best", language_id.judge(prototypes)("text"))
+    return judged.select("doc_id", "held_out", "best.lang_pred", "best.score")
 
 
 def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encode, decode = byte_bpe.codec(spark, RANKS, public_tokenizers.PATTERN)
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
-    coded = docs.select("doc_id", encode("text").alias("ids")).withColumn("bytes", decode("ids"))
+    codec = byte_bpe.codec(spark, RANKS, public_tokenizers.PATTERN)
+    coded = read_table(spark, sf_dir, "documents").withColumn("coded", codec.round_trip("text"))
     return coded.select(
         "doc_id",
-        byte_bpe.token_count(F.col("ids")).alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("bytes", 256).alias("decoded_sha256"),
+        byte_bpe.token_count(F.col("coded.ids")).alias("n_tokens"),
+        F.sha2("coded.ids", 256).alias("ids_sha256"),
+        F.sha2("coded.bytes", 256).alias("decoded_sha256"),
     )
 
 
+def setsketch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 _QUERIES = {
+    "op1_suffix_dedup": suffix_dedup_query,
     "op3_source_mix": source_mix_query,
     "op4_language_id": language_id_query,
     "op6_byte_bpe": byte_bpe_query,
+    "op7_setsketch": setsketch_query,
 }
 
 
