@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Pieces remembered by one Python worker: two generations of this many.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 150_000
 # Longest piece, in bytes, whose tree is a matrix row; matrices have at most this many rows.
 ROW_BYTES = 64
 ROWS = 4096
@@ -232,17 +233,28 @@ def _encoder(content: bytes, pattern: str) -> Encoder:
     return Encoder(parse_ranks(content), pattern)
 
 
+class Codec(NamedTuple):
+    encode: Callable[[Column], Column]
+    decode: Callable[[Column], Column]
+    round_trip: Callable[[Column], Column]
+
+
 @lru_cache(maxsize=2)
 def _vocabulary(content: bytes) -> dict[int, bytes]:
     return {rank: token for token, rank in parse_ranks(content).items()}
 
 
-def codec(spark: SparkSession, ranks_path: str, pattern: str) -> tuple[Callable[[Column], Column], Callable[[Column], Column]]:
-    """Column functions (encode, decode).
+def decode_ids(packed: bytes, vocabulary: dict[int, bytes]) -> bytes:
+    return b"".join(map(vocabulary.__getitem__, memoryview(packed).cast("I"))) if packed else b""
+
+
+def codec(spark: SparkSession, ranks_path: str, pattern: str) -> Codec:
+    """Column functions ``encode``, ``decode`` and ``round_trip``.
 
     ``encode`` turns text into token ids packed as little-endian unsigned 32-bit integers, each match
     of the pattern by itself and special tokens read as plain text; NULL and empty text give no ids.
-    ``decode`` turns packed ids into bytes; NULL gives none, an unknown id fails.
+    ``decode`` turns packed ids into bytes; NULL gives none, an unknown id fails. ``round_trip`` does
+    both in one Python process: a struct of ids and the bytes decoded from them.
     The rank file is read once by the driver (it has a fixed size) and sent to the executors.
     """
     content = spark.sparkContext.broadcast(load_ranks(ranks_path))
@@ -255,11 +267,18 @@ def codec(spark: SparkSession, ranks_path: str, pattern: str) -> tuple[Callable[
 
     @F.pandas_udf("binary")
     def decode(packed: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = _vocabulary(content.value).__getitem__
+        vocabulary = _vocabulary(content.value)
         for batch in packed:
-            yield pd.Series([b"".join(map(token, memoryview(ids).cast("I"))) if ids else b"" for ids in batch], dtype=object)
+            yield pd.Series([decode_ids(ids, vocabulary) for ids in batch], dtype=object)
+
+    @F.pandas_udf("ids binary, bytes binary")
+    def round_trip(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder, vocabulary = _encoder(content.value, pattern), _vocabulary(content.value)
+        for batch in texts:
+            ids = encoder.encode([text or "" for text in batch])
+            yield pd.DataFrame({"ids": ids, "bytes": [decode_ids(x, vocabulary) for x in ids]}, dtype=object)
 
-    return encode, decode
+    return Codec(encode, decode, round_trip)
 
 
 def token_count(packed: Column) -> Column:
