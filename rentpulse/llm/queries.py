@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentpulse.llm import byte_bpe, language_id, setsketch, source_mix, suffix_dedup
+from rentpulse.llm import byte_bpe, cap_filters, hidden_markov, language_id, prefix_forest, setsketch, source_mix, suffix_dedup
 from rentpulse.llm.common import crc_remainder, read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -63,12 +63,30 @@ def setsketch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def prefix_forest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = prefix_forest.nearest(vectors, F.col("vec_id") % 20 == 0, k=20)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def cap_filters_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_duplicates(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
+
+
+def hidden_markov_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hidden_markov.score(docs.withColumn("held_out", crc_remainder("doc_id", 7) == 2))
+
+
 _QUERIES = {
     "op1_suffix_dedup": suffix_dedup_query,
     "op3_source_mix": source_mix_query,
     "op4_language_id": language_id_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_setsketch": setsketch_query,
+    "op8_prefix_forest": prefix_forest_query,
+    "op9_cap_filters": cap_filters_query,
+    "op10_hidden_markov": hidden_markov_query,
 }
 
 
