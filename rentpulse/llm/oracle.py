@@ -37,6 +37,64 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP2 = r"""
+WITH c AS (
+  SELECT page_id, url, DATE '2024-01-01' + (page_id * 7919 % 365)::INT AS fetched_on,
+         rtrim(lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:@]*)', 1)), '.') AS host,
+         list_filter(string_split(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*([^?#]*)', 1), '/'),
+                     lambda s: s <> '') AS segments
+  FROM pages
+),
+h AS (
+  SELECT host, regexp_extract(host, '^[^.]+\.(.+\..+)$', 1) AS parent FROM c WHERE host <> '' GROUP BY host
+),
+n AS (
+  SELECT *, ('0x' || substr(md5(host), 1, 6))::INT AS x, ('0x' || substr(md5(parent), 1, 6))::INT AS y FROM h
+),
+e AS (
+  SELECT host AS pattern, x % 200 AS day, true AS listed FROM n WHERE x % 3 = 0
+  UNION SELECT host, x % 200 + 40 + x % 50, false FROM n WHERE x % 3 = 0
+  UNION SELECT host, x % 200 + 120 + x % 50, true FROM n WHERE x % 3 = 0 AND x % 2 = 0
+  UNION SELECT host || '/en', x % 300, true FROM n WHERE x % 3 = 1
+  UNION SELECT parent, y % 365, true FROM n WHERE parent <> '' AND y % 5 = 0
+),
+d AS (SELECT pattern, DATE '2024-01-01' + day::INT AS listed_on, bool_or(listed) AS listed FROM e GROUP BY 1, 2),
+v AS (
+  SELECT pattern, listed, listed_on AS valid_from, lead(listed_on) OVER (PARTITION BY pattern ORDER BY listed_on) AS valid_to
+  FROM d
+),
+m AS (
+  SELECT c.page_id, c.url, c.fetched_on, count(*) AS n_rules,
+         arg_max(v.pattern, (length(v.pattern), v.pattern)) AS rule,
+         arg_max(v.valid_from, (length(v.pattern), v.pattern)) AS listed_on
+  FROM (SELECT DISTINCT * FROM c) c JOIN v
+    ON v.listed AND v.valid_from <= c.fetched_on AND (v.valid_to IS NULL OR c.fetched_on < v.valid_to)
+   AND (c.host = v.pattern OR c.host LIKE '%.' || v.pattern
+        OR (len(c.segments) > 0 AND v.pattern = c.host || '/' || c.segments[1]))
+  GROUP BY 1, 2, 3
+)
+SELECT c.page_id, c.url, c.fetched_on::VARCHAR AS fetched_on, m.rule IS NOT NULL AS blocked, m.rule,
+       m.listed_on::VARCHAR AS listed_on, coalesce(m.n_rules, 0) AS n_rules
+FROM c LEFT JOIN m ON c.page_id = m.page_id AND c.url = m.url AND c.fetched_on = m.fetched_on
+"""
+
+OP5 = r"""
+WITH t AS (
+  SELECT conv_id, turn, role, trim(coalesce(text, ''), chr(10)) AS body, coalesce(text, '') SIMILAR TO '(?s).*\S.*' AS solid
+  FROM conversations
+),
+r AS (
+  SELECT t.*, CASE WHEN t.turn % 5 <> 0 AND p.solid THEN t.turn - 1 END AS reply_to
+  FROM t LEFT JOIN t p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1
+),
+g AS (
+  SELECT *, max(CASE WHEN reply_to IS NULL THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS root_turn FROM r
+)
+SELECT conv_id, turn, role, body, reply_to, root_turn, turn - root_turn AS depth,
+       row_number() OVER (PARTITION BY conv_id, root_turn ORDER BY turn, role, body) AS position
+FROM g
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op3_source_mix": OP3}
+    return {"op2_url_lists": OP2, "op3_source_mix": OP3, "op5_quote_links": OP5}

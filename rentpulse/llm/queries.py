@@ -12,7 +12,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentpulse.llm import byte_bpe, cap_filters, hidden_markov, language_id, prefix_forest, setsketch, source_mix, suffix_dedup
+from rentpulse.llm import (
+    byte_bpe,
+    cap_filters,
+    hidden_markov,
+    language_id,
+    prefix_forest,
+    quote_links,
+    setsketch,
+    source_mix,
+    suffix_dedup,
+    url_lists,
+)
 from rentpulse.llm.common import crc_remainder, read_table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -35,6 +46,53 @@ def suffix_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "_cut.n_bytes", "_cut.n_removed", "_cut.n_spans", F.sha2("_cut.kept", 256).alias("kept_sha256"))
 
 
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """Pages with a fetch date spread over a year, by their id."""
+    return pages.select("page_id", "url", F.expr("date_add(date '2024-01-01', int(page_id * 7919 % 365))").alias("fetched_on"))
+
+
+def dated_entries(pages: DataFrame) -> DataFrame:
+    """List entries for the pages' hosts, parent domains and a path, on dates that follow from their names."""
+    hosts = pages.select(url_lists.host(F.col("url")).alias("host")).filter("host != ''").distinct()
+    number = lambda c: F.conv(F.substring(F.md5(c.cast("binary")), 1, 6), 16, 10).cast("int")
+    parent = F.regexp_extract("host", r"^[^.]+\.(.+\..+)$", 1)
+    named = hosts.withColumns({"x": number(F.col("host")), "parent": parent, "y": number(parent)})
+    entry = "struct({} AS pattern, date_add(date '2024-01-01', {}) AS listed_on, {} AS listed)"
+    rules = [
+        (entry.format("host", "x % 200", "true"), "x % 3 = 0"),
+        (entry.format("host", "x % 200 + 40 + x % 50", "false"), "x % 3 = 0"),
+        (entry.format("host", "x % 200 + 120 + x % 50", "true"), "x % 3 = 0 AND x % 2 = 0"),
+        (entry.format("concat(host, '/en')", "x % 300", "true"), "x % 3 = 1"),
+        (entry.format("parent", "y % 365", "true"), "parent != '' AND y % 5 = 0"),
+    ]
+    listed = F.array_compact(F.expr("array(" + ", ".join(f"if({when}, {row}, NULL)" for row, when in rules) + ")"))
+    return named.select(F.explode(listed).alias("e")).select("e.*").distinct()
+
+
+def url_lists_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_lists.judge(dated_captures(pages), dated_entries(pages))
+    return judged.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "listed_on")})
+
+
+def quoting_messages(turns: DataFrame) -> DataFrame:
+    """Conversations as mail: each turn quotes the one before, and what that quoted; every fifth starts anew."""
+    texts = turns.groupBy("conv_id", "turn").agg(F.min("text").alias("text"))
+
+    def before(n: int) -> DataFrame:
+        return texts.select("conv_id", (F.col("turn") + n).alias("turn"), F.col("text").alias(f"text_{n}"))
+
+    met = turns.join(before(1), ["conv_id", "turn"], "left").join(before(2), ["conv_id", "turn"], "left")
+    once = F.when((F.col("turn") % 5 != 0) & F.col("text_1").isNotNull(), quote_links.quote(F.col("text_1")))
+    twice = F.when(once.isNotNull() & (F.col("turn") % 5 != 1), quote_links.quote(quote_links.quote(F.col("text_2"))))
+    return met.select("conv_id", "turn", "role", F.concat_ws("\n", twice, once, "text").alias("text"))
+
+
+def quote_links_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return quote_links.conversations(quoting_messages(turns))
+
+
 def source_mix_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = source_mix.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -80,8 +138,10 @@ def hidden_markov_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = {
     "op1_suffix_dedup": suffix_dedup_query,
+    "op2_url_lists": url_lists_query,
     "op3_source_mix": source_mix_query,
     "op4_language_id": language_id_query,
+    "op5_quote_links": quote_links_query,
     "op6_byte_bpe": byte_bpe_query,
     "op7_setsketch": setsketch_query,
     "op8_prefix_forest": prefix_forest_query,
