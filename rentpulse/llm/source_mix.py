@@ -187,9 +187,7 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     Documents without a word take no part in the mix; they pass unchanged, once.
     """
     plan = mix(docs, **settings).groupBy("doc_id").agg(F.max("copies").alias("copies"), F.max("size").alias("size"))
-    times = F.when(F.col("_size") == 0, F.lit(1)).otherwise(F.col("_copies"))
-    renamed = docs.join(
-        plan.select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies"), F.col("size").alias("_size")),
-        F.col("doc_id").eqNullSafe(F.col("_id")),
-    )
-    return renamed.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times.cast("int")))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"))  # so that no name can clash
+    times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies")).cast("int")
+    met = rows.join(plan, F.col("row.doc_id").eqNullSafe(F.col("doc_id")))
+    return met.select("row", F.explode(F.array_repeat(F.lit(1), times))).select("row.*")
