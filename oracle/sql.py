@@ -1,4 +1,4 @@
-"""The SQL counterpart of every query, written independently of the Spark code.
+"""The SQL counterpart of every query, with constants and statements of its own.
 
 A statement is a body over named common table expressions; ``_with`` prepends those it needs.
 """
@@ -7,15 +7,24 @@ from __future__ import annotations
 
 import re
 
+from oracle.columns import LISTING_COLUMNS, LISTING_NULL_TOKENS
 from oracle.fixture import AS_OF, raw_listings, raw_reviews
-from rentpulse.sources.extracts import LISTING_COLUMNS, LISTING_NULL_TOKENS
 
 DAY = "try_strptime({}, '%Y-%m-%d')::date"
 
 
 def rnd(expr: str, digits: int = 4) -> str:
-    """Half-up rounding after removing float noise."""
-    return f"round(cast({expr} AS decimal(38,{digits + 3})), {digits})::double"
+    """Half-up rounding of the number as it is written out, once."""
+    return f"round(cast(cast({expr} AS varchar) AS decimal(38,18)), {digits})::double"
+
+
+def total(col: str) -> str:
+    """A sum that does not depend on the order of its terms."""
+    return f"sum(cast({col} AS decimal(38,6)))::double"
+
+
+def mean(col: str) -> str:
+    return f"({total(col)} / count({col}))"
 
 
 def int_(col: str) -> str:
@@ -185,13 +194,13 @@ SELECT neighbourhood_cleansed, f.city, count(*) AS total_listings,
        count(CASE WHEN is_high_availability THEN 1 END) AS total_high_availability,
        {rnd(share("is_high_availability"), 2)} AS pct_high_availability,
        {rnd("median(price_winsorized)", 2)} AS median_price_winsorized,
-       {rnd("avg(price_per_person)", 2)} AS avg_price_per_person,
-       {rnd("avg(estimated_occupancy_l365d)", 1)} AS avg_occupancy_days,
-       {rnd("avg(estimated_revenue_adjusted)", 2)} AS avg_estimated_revenue,
+       {rnd(mean("price_per_person"), 2)} AS avg_price_per_person,
+       {rnd(mean("estimated_occupancy_l365d"), 1)} AS avg_occupancy_days,
+       {rnd(mean("estimated_revenue_adjusted"), 2)} AS avg_estimated_revenue,
        count(CASE WHEN host_profile <> 'Host individual' THEN 1 END) AS total_multihost_listings,
        {rnd(share("host_profile <> 'Host individual'"), 2)} AS pct_multihost_listings,
        {rnd(share("host_profile = 'Operador profesional'"), 2)} AS pct_professional_operators,
-       {rnd("avg(review_scores_rating)", 2)} AS avg_review_score,
+       {rnd(mean("review_scores_rating"), 2)} AS avg_review_score,
        {rnd(SCORE.replace("is_entire_home", "f.is_entire_home"), 2)} AS pressure_score
 FROM {latest} f LEFT JOIN dim_listing dl ON f.listing_id = dl.listing_id
 WHERE neighbourhood_cleansed IS NOT NULL AND neighbourhood_cleansed <> 'no asignado'
@@ -203,9 +212,9 @@ def mart_host(latest: str) -> str:
 SELECT host_id, host_name, h.host_profile, host_seniority_years, h.city,
        calculated_host_listings_count AS total_listings, calc_listings_entire_homes AS entire_home_listings,
        {rnd("calc_listings_entire_homes / nullif(calculated_host_listings_count, 0) * 100", 2)} AS pct_entire_home,
-       {rnd("avg(price_per_person)", 2)} AS avg_price_per_person,
-       {rnd("avg(estimated_occupancy_l365d)", 1)} AS avg_occupancy,
-       {rnd("sum(estimated_revenue_adjusted)", 2)} AS estimated_annual_revenue, host_is_superhost AS is_superhost
+       {rnd(mean("price_per_person"), 2)} AS avg_price_per_person,
+       {rnd(mean("estimated_occupancy_l365d"), 1)} AS avg_occupancy,
+       {rnd(total("estimated_revenue_adjusted"), 2)} AS estimated_annual_revenue, host_is_superhost AS is_superhost
 FROM dim_host h LEFT JOIN {latest} f ON h.host_sk = f.host_sk
 GROUP BY host_id, host_name, h.host_profile, host_seniority_years, h.city, calculated_host_listings_count,
          calc_listings_entire_homes, host_is_superhost"""
@@ -216,14 +225,14 @@ def mart_city(latest: str) -> str:
 SELECT f.city, count(*) AS total_listings, count(CASE WHEN is_active_listing THEN 1 END) AS total_active_listings,
        {rnd(share("is_entire_home"), 2)} AS pct_entire_home,
        {rnd("median(price_winsorized)", 2)} AS median_price_winsorized,
-       {rnd("avg(price_per_person)", 2)} AS avg_price_per_person,
-       {rnd("avg(estimated_occupancy_l365d)", 1)} AS avg_occupancy_days,
-       {rnd("avg(estimated_revenue_adjusted)", 2)} AS avg_estimated_revenue,
+       {rnd(mean("price_per_person"), 2)} AS avg_price_per_person,
+       {rnd(mean("estimated_occupancy_l365d"), 1)} AS avg_occupancy_days,
+       {rnd(mean("estimated_revenue_adjusted"), 2)} AS avg_estimated_revenue,
        count(DISTINCT host_id) AS total_hosts,
        {rnd('''count(DISTINCT CASE WHEN h.host_profile = 'Operador profesional' THEN host_id END)
              / nullif(count(DISTINCT host_id), 0) * 100''', 2)} AS pct_professional_operators,
        {rnd(share("f.host_profile <> 'Host individual'"), 2)} AS pct_multihost_listings,
-       {rnd("avg(review_scores_rating)", 2)} AS avg_review_score
+       {rnd(mean("review_scores_rating"), 2)} AS avg_review_score
 FROM {latest} f LEFT JOIN dim_host h ON f.host_sk = h.host_sk GROUP BY f.city"""
 
 
@@ -598,8 +607,8 @@ def _dashboard() -> dict[str, str]:
     return {
         "dash_city_label": f"SELECT city, count(*) AS n, {label} FROM raw GROUP BY city",
         "dash_kpis_capture": f"""
-SELECT sum(total_listings)::bigint AS total_listings, {rnd("avg(pct_entire_home)", 2)} AS pct_entire_home,
-       {rnd("avg(avg_occupancy_days)", 2)} AS avg_occupancy_days,
+SELECT sum(total_listings)::bigint AS total_listings, {rnd(mean("pct_entire_home"), 2)} AS pct_entire_home,
+       {rnd(mean("avg_occupancy_days"), 2)} AS avg_occupancy_days,
        (SELECT count(DISTINCT neighbourhood_cleansed) FROM nbh_mart) AS total_neighbourhoods FROM city_mart""",
         "dash_neighbourhood_scatter": f"""
 SELECT neighbourhood_cleansed, {label}, total_listings, pct_entire_home, total_entire_home, pressure_score
@@ -610,7 +619,7 @@ FROM nbh_mart WHERE total_listings >= 50""",
 SELECT review_year, sum(total_reviews)::bigint AS total_reviews FROM by_year GROUP BY review_year""",
         "dash_reviews_top5": """
 SELECT * FROM by_year WHERE ciudad IN (
-  SELECT ciudad FROM by_year GROUP BY ciudad ORDER BY sum(total_reviews) DESC, ciudad LIMIT 4)""",
+  SELECT ciudad FROM by_year GROUP BY ciudad ORDER BY sum(total_reviews) DESC, ciudad LIMIT 5)""",
         "dash_reviews_stacked": """
 SELECT *, sum(total_reviews) OVER (PARTITION BY ciudad)::bigint AS city_total FROM by_year""",
         "dash_host_kpis": f"""
@@ -626,9 +635,9 @@ SELECT host_profile, count(DISTINCT host_id) AS num_hosts FROM host_mart GROUP B
         "dash_listings_by_profile": f"""
 SELECT {label}, host_profile, sum(total_listings)::bigint AS total_listings FROM host_mart GROUP BY city, host_profile""",
         "dash_kpis_money": f"""
-SELECT {rnd("avg(median_price_winsorized)", 2)} AS median_price, {rnd("avg(avg_estimated_revenue)", 2)} AS avg_revenue,
-       (SELECT {rnd("avg(estimated_annual_revenue)", 2)} FROM host_mart WHERE {pro}) AS avg_professional_revenue,
-       {rnd("avg(pct_multihost_listings)", 2)} AS pct_multihost_listings FROM city_mart""",
+SELECT {rnd(mean("median_price_winsorized"), 2)} AS median_price, {rnd(mean("avg_estimated_revenue"), 2)} AS avg_revenue,
+       (SELECT {rnd(mean("estimated_annual_revenue"), 2)} FROM host_mart WHERE {pro}) AS avg_professional_revenue,
+       {rnd(mean("pct_multihost_listings"), 2)} AS pct_multihost_listings FROM city_mart""",
         "dash_top_neighbourhoods": f"""
 SELECT neighbourhood_cleansed, {label}, avg_estimated_revenue, median_price_winsorized, total_listings FROM nbh_mart
 WHERE total_listings >= 20

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_GUARD_DIGITS = 3
+_TERM = "decimal(38,6)"
 
 
 def cap(value: Column, ceiling: Column) -> Column:
@@ -22,14 +22,17 @@ def safe_divide(numerator: Column, denominator: Column) -> Column:
     return numerator / null_if_zero(denominator)
 
 
-def stable_round(value: Column, digits: int) -> Column:
-    """Half-up rounding that summation order cannot flip.
+def exact_sum(value: Column) -> Column:
+    """Aggregate: a sum of doubles that does not depend on the order in which tasks deliver them.
 
-    A distributed sum of doubles differs in its last bits from run to run, so a value on a
-    rounding boundary could go either way. Rounding three digits further out first removes
-    that noise (a larger guard would reach into the noise of sums in the hundred millions).
+    The terms are added as decimals, so a rounding boundary cannot be missed by the last bits.
     """
-    return F.round(F.round(value, digits + _GUARD_DIGITS), digits)
+    return F.sum(value.cast(_TERM)).cast("double")
+
+
+def exact_avg(value: Column) -> Column:
+    """Aggregate: the mean of the non-NULL values, by ``exact_sum``."""
+    return safe_divide(exact_sum(value), F.count(value))
 
 
 def share_pct(condition: Column) -> Column:

@@ -22,21 +22,19 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("__rn", F.row_number().over(window)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def latest_dates(df: DataFrame, group: str, date: str, out: str) -> DataFrame:
-    """The latest date per group as a small written table."""
-    return materialize(df.groupBy(group).agg(F.max(date).alias(out)), "latest")
-
-
 def within_latest(df: DataFrame, group: str, date: str, days: int) -> DataFrame:
     """Rows dated within ``days`` of their group's latest date.
 
     A snapshot is collected over several days, so the exact latest date would keep a sliver.
-    The per-group maximum is aggregated and joined back: a window over the group would pull
-    each group into one task.
+    The distinct (group, date) pairs, which a table partitioned by them has as folders, become a small
+    written table with their distance from the group's latest date. The rows are joined with the near
+    pairs on equal dates, so that a partitioned table is read only where the window lies.
     """
-    newest = latest_dates(df, group, date, "__latest").withColumnRenamed(group, "__group")
-    in_window = F.col(date) >= F.date_sub("__latest", days)
-    return df.join(newest, F.col(group).eqNullSafe(F.col("__group")) & in_window).select(df.columns)
+    dates = df.select(F.col(group).alias("__group"), F.col(date).alias("__date")).filter("__date IS NOT NULL").distinct()
+    newest = F.max("__date").over(Window.partitionBy("__group"))
+    pairs = materialize(dates.withColumn("__age", F.datediff(newest, "__date")), "snapshots").filter(F.col("__age") <= days)
+    same = F.col(group).eqNullSafe(F.col("__group")) & (F.col(date) == F.col("__date"))
+    return df.join(pairs, same, "left_semi")
 
 
 def newest_per_key(df: DataFrame, group: str, key: str, date: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rentpulse.functions.numeric import safe_divide, stable_round
+from rentpulse.functions.numeric import safe_divide
 
 
 def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -52,15 +53,22 @@ def relationships(child: DataFrame, column: str, parent: DataFrame, parent_colum
 
 
 def _one_decimal(number: Column) -> Column:
-    return F.when(number.isNotNull(), F.format_string("%.1f", stable_round(number, 1)))
+    return F.when(number.isNotNull(), F.format_string("%.1f", F.round(number, 1)))
+
+
+def _filled(template: str, **values: Column) -> Column:
+    """The template with each {name} replaced by a text column."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[part] if i % 2 else F.lit(part) for i, part in enumerate(parts)])
 
 
 def count_reconciliation(
-    mart: DataFrame, baseline: DataFrame, by: str, mart_name: str, max_pct_diff: float
+    mart: DataFrame, baseline: DataFrame, by: str, mart_name: str, max_pct_diff: float, message: str
 ) -> DataFrame:
-    """Groups whose listing total in the mart is off the baseline by more than the tolerance.
+    """Groups whose total in the mart is off the baseline by more than the tolerance.
 
-    ``mart`` and ``baseline`` carry (by, n). A group that only one side has is a failure too.
+    ``mart`` and ``baseline`` carry (by, n). A group that only one side has is a failure too. The
+    message may name {fact}, {mart}, {diff} and {limit}.
     """
     sides = mart.select(by, F.col("n").alias("__mart")).join(
         baseline.select(by, F.col("n").alias("__fact")), by, "full_outer"
@@ -68,30 +76,29 @@ def count_reconciliation(
     in_mart = F.coalesce("__mart", F.lit(0))
     in_fact = F.coalesce("__fact", F.lit(0))
     diff = safe_divide(F.abs(in_mart - in_fact), in_fact) * 100
-    detail = F.concat(
-        F.lit("listings: fact="),
-        in_fact.cast("string"),
-        F.lit(" vs mart="),
-        in_mart.cast("string"),
-        F.lit(" (diff "),
-        F.coalesce(_one_decimal(diff), F.lit("n/a")),
-        F.lit(f"% > {max_pct_diff:g}%)"),
+    detail = _filled(
+        message,
+        fact=in_fact.cast("string"),
+        mart=in_mart.cast("string"),
+        diff=F.coalesce(_one_decimal(diff), F.lit("n/a")),
+        limit=F.lit(f"{max_pct_diff:g}"),
     )
     failed = F.coalesce(diff > max_pct_diff, F.lit(True))
     return sides.filter(failed).select(F.lit(mart_name).alias("mart"), by, detail.alias("detail"))
 
 
-def coverage_floor(mart: DataFrame, column: str, by: str, mart_name: str, label: str, min_pct: float) -> DataFrame:
-    """Groups in which too few rows have a value in ``column``."""
+def coverage_floor(mart: DataFrame, column: str, by: str, mart_name: str, min_pct: float, message: str) -> DataFrame:
+    """Groups in which too few rows have a value in ``column``.
+
+    The message may name {filled}, {all}, {pct} and {limit}.
+    """
     counted = mart.groupBy(by).agg(F.count(column).alias("__filled"), F.count(F.lit(1)).alias("__all"))
     covered = safe_divide(F.col("__filled"), F.col("__all")) * 100
-    detail = F.concat(
-        F.lit(f"cobertura {label}: "),
-        F.col("__filled").cast("string"),
-        F.lit("/"),
-        F.col("__all").cast("string"),
-        F.lit(" hosts ("),
-        _one_decimal(covered),
-        F.lit(f"% < {min_pct:g}%)"),
+    detail = _filled(
+        message,
+        filled=F.col("__filled").cast("string"),
+        all=F.col("__all").cast("string"),
+        pct=_one_decimal(covered),
+        limit=F.lit(f"{min_pct:g}"),
     )
     return counted.filter(covered < min_pct).select(F.lit(mart_name).alias("mart"), by, detail.alias("detail"))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from rentpulse import rules as R
 from rentpulse.operators import quality as Q
-from rentpulse.plans.marts import assigned
 from rentpulse.rules import RentalRules
 
 Tables = Callable[[str], DataFrame]
@@ -122,39 +121,43 @@ def check_relationships(tables: Tables) -> DataFrame:
 def check_revenue_coverage(host_mart: DataFrame, rules: RentalRules) -> DataFrame:
     """Cities in which too few hosts have an estimated revenue."""
     return Q.coverage_floor(
-        host_mart,
-        "estimated_annual_revenue",
-        "city",
-        "mart_host_profile",
-        "revenue",
-        rules.min_revenue_coverage_pct,
+        host_mart, "estimated_annual_revenue", "city", "mart_host_profile", rules.min_revenue_coverage_pct, R.COVERAGE_MESSAGE
     )
 
 
+def snapshot_listings(fact: DataFrame, dim_listing: DataFrame, rules: RentalRules) -> DataFrame:
+    """(city, listing_id, neighbourhood_cleansed) of each city's latest snapshot, for reconciliation only.
+
+    Derived from the fact with nothing that the marts use, so a fault in their window shows.
+    """
+    newest = fact.groupBy("city").agg(F.max("snapshot_date").alias("newest")).withColumnRenamed("city", "in_city")
+    recent = (F.col("city").eqNullSafe(F.col("in_city"))) & (F.datediff("newest", "snapshot_date") <= rules.window_days)
+    listed = fact.join(newest, recent).select("city", "listing_id").distinct()
+    return listed.join(dim_listing.select("listing_id", "neighbourhood_cleansed"), "listing_id", "left")
+
+
 def check_marts_consistency(
-    listings: DataFrame,
+    fact: DataFrame,
+    dim_listing: DataFrame,
     city_mart: DataFrame,
     neighbourhood_mart: DataFrame,
     host_mart: DataFrame,
     rules: RentalRules,
 ) -> DataFrame:
-    """Cities in which a mart disagrees with the listings it was built from, with a reason.
-
-    The baseline is counted from the window table, independent of how the marts aggregate.
-    """
+    """Cities in which a mart disagrees with the fact, with a reason."""
 
     def per_city(df: DataFrame) -> DataFrame:
         return df.groupBy("city").agg(F.count(F.lit(1)).alias("n"))
 
+    listings = snapshot_listings(fact, dim_listing, rules)
+    named = listings.filter(F.col("neighbourhood_cleansed") != R.UNASSIGNED_NEIGHBOURHOOD)
     by_city = city_mart.select("city", F.col("total_listings").alias("n"))
     by_neighbourhood = neighbourhood_mart.groupBy("city").agg(F.sum("total_listings").alias("n"))
-    tolerance = rules.max_count_diff_pct
+    limits = (rules.max_count_diff_pct, R.COUNT_MESSAGE)
     return union_all(
         [
-            Q.count_reconciliation(by_city, per_city(listings), "city", "mart_city_comparison", tolerance),
-            Q.count_reconciliation(
-                by_neighbourhood, per_city(assigned(listings)), "city", "mart_neighbourhood_pressure", tolerance
-            ),
+            Q.count_reconciliation(by_city, per_city(listings), "city", "mart_city_comparison", *limits),
+            Q.count_reconciliation(by_neighbourhood, per_city(named), "city", "mart_neighbourhood_pressure", *limits),
             check_revenue_coverage(host_mart, rules),
         ]
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentpulse import rules as R
-from rentpulse.functions.numeric import safe_divide, share_pct, stable_round, weighted_score
+from rentpulse.functions.numeric import exact_avg, exact_sum, safe_divide, share_pct, weighted_score
 from rentpulse.operators.dedup import newest_per_key, within_latest
 from rentpulse.operators.percentile import group_median
 from rentpulse.plans.dims import is_assigned
@@ -39,7 +39,7 @@ def _is_professional() -> Column:
 
 
 def _avg(col: str, digits: int) -> Column:
-    return stable_round(F.avg(col), digits)
+    return F.round(exact_avg(F.col(col)), digits)
 
 
 def _join_parts(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,17 +69,17 @@ def mart_neighbourhood_pressure(listings: DataFrame, rules: RentalRules) -> Data
         F.count(F.lit(1)).alias("total_listings"),
         F.count_if("is_active_listing").alias("total_active_listings"),
         F.count_if("is_entire_home").alias("total_entire_home"),
-        stable_round(share_pct(F.col("is_entire_home")), 2).alias("pct_entire_home"),
+        F.round(share_pct(F.col("is_entire_home")), 2).alias("pct_entire_home"),
         F.count_if("is_high_availability").alias("total_high_availability"),
-        stable_round(share_pct(F.col("is_high_availability")), 2).alias("pct_high_availability"),
+        F.round(share_pct(F.col("is_high_availability")), 2).alias("pct_high_availability"),
         _avg("price_per_person", 2).alias("avg_price_per_person"),
         _avg("estimated_occupancy_l365d", 1).alias("avg_occupancy_days"),
         _avg("estimated_revenue_adjusted", 2).alias("avg_estimated_revenue"),
         F.count_if(_is_multihost()).alias("total_multihost_listings"),
-        stable_round(share_pct(_is_multihost()), 2).alias("pct_multihost_listings"),
-        stable_round(share_pct(_is_professional()), 2).alias("pct_professional_operators"),
+        F.round(share_pct(_is_multihost()), 2).alias("pct_multihost_listings"),
+        F.round(share_pct(_is_professional()), 2).alias("pct_professional_operators"),
         _avg("review_scores_rating", 2).alias("avg_review_score"),
-        stable_round(pressure_score(rules), 2).alias("pressure_score"),
+        F.round(pressure_score(rules), 2).alias("pressure_score"),
     )
     medians = group_median(rows, keys, "price_winsorized", "__median")
     return _join_parts(shares, medians, keys).select(
@@ -91,7 +91,7 @@ def mart_neighbourhood_pressure(listings: DataFrame, rules: RentalRules) -> Data
         "pct_entire_home",
         "total_high_availability",
         "pct_high_availability",
-        stable_round(F.col("__median"), 2).alias("median_price_winsorized"),
+        F.round(F.col("__median"), 2).alias("median_price_winsorized"),
         "avg_price_per_person",
         "avg_occupancy_days",
         "avg_estimated_revenue",
@@ -112,7 +112,7 @@ def mart_host_profile(dim_host: DataFrame, listings: DataFrame) -> DataFrame:
     earnings = listings.groupBy("host_sk").agg(
         _avg("price_per_person", 2).alias("avg_price_per_person"),
         _avg("estimated_occupancy_l365d", 1).alias("avg_occupancy"),
-        stable_round(F.sum("estimated_revenue_adjusted"), 2).alias("estimated_annual_revenue"),
+        F.round(exact_sum(F.col("estimated_revenue_adjusted")), 2).alias("estimated_annual_revenue"),
     )
     homes_pct = safe_divide(F.col("calc_listings_entire_homes"), F.col("calculated_host_listings_count")) * 100
     return dim_host.join(earnings, "host_sk", "left").select(
@@ -123,7 +123,7 @@ def mart_host_profile(dim_host: DataFrame, listings: DataFrame) -> DataFrame:
         "city",
         F.col("calculated_host_listings_count").alias("total_listings"),
         F.col("calc_listings_entire_homes").alias("entire_home_listings"),
-        stable_round(homes_pct, 2).alias("pct_entire_home"),
+        F.round(homes_pct, 2).alias("pct_entire_home"),
         "avg_price_per_person",
         "avg_occupancy",
         "estimated_annual_revenue",
@@ -147,7 +147,7 @@ def _host_shares(listings: DataFrame, dim_host: DataFrame) -> DataFrame:
     )
     return per_host.groupBy("city").agg(
         F.count("host_id").alias("total_hosts"),
-        stable_round(
+        F.round(
             safe_divide(
                 F.count_if(F.col("__professional") & F.col("host_id").isNotNull()), F.count("host_id")
             )
@@ -162,11 +162,11 @@ def mart_city_comparison(listings: DataFrame, dim_host: DataFrame) -> DataFrame:
     shares = listings.groupBy("city").agg(
         F.count(F.lit(1)).alias("total_listings"),
         F.count_if("is_active_listing").alias("total_active_listings"),
-        stable_round(share_pct(F.col("is_entire_home")), 2).alias("pct_entire_home"),
+        F.round(share_pct(F.col("is_entire_home")), 2).alias("pct_entire_home"),
         _avg("price_per_person", 2).alias("avg_price_per_person"),
         _avg("estimated_occupancy_l365d", 1).alias("avg_occupancy_days"),
         _avg("estimated_revenue_adjusted", 2).alias("avg_estimated_revenue"),
-        stable_round(share_pct(_is_multihost()), 2).alias("pct_multihost_listings"),
+        F.round(share_pct(_is_multihost()), 2).alias("pct_multihost_listings"),
         _avg("review_scores_rating", 2).alias("avg_review_score"),
     )
     medians = group_median(listings, ["city"], "price_winsorized", "__median")
@@ -176,7 +176,7 @@ def mart_city_comparison(listings: DataFrame, dim_host: DataFrame) -> DataFrame:
         "total_listings",
         "total_active_listings",
         "pct_entire_home",
-        stable_round(F.col("__median"), 2).alias("median_price_winsorized"),
+        F.round(F.col("__median"), 2).alias("median_price_winsorized"),
         "avg_price_per_person",
         "avg_occupancy_days",
         "avg_estimated_revenue",

@@ -14,35 +14,6 @@ from rentpulse.rules import RentalRules
 
 _c = F.col
 
-# The raw columns that dimensions, facts and marts depend on.
-GOLD_INPUT = [
-    "id",
-    "last_scraped",
-    "name",
-    "host_id",
-    "host_name",
-    "host_since",
-    "host_is_superhost",
-    "neighbourhood_cleansed",
-    "latitude",
-    "longitude",
-    "property_type",
-    "room_type",
-    "accommodates",
-    "price",
-    "availability_365",
-    "number_of_reviews_ltm",
-    "estimated_occupancy_l365d",
-    "estimated_revenue_l365d",
-    "last_review",
-    "review_scores_rating",
-    "calculated_host_listings_count",
-    "calculated_host_listings_count_entire_homes",
-    "reviews_per_month",
-    "city",
-]
-
-
 def _named(columns: dict[str, Column]) -> list[Column]:
     return [expr.alias(name) for name, expr in columns.items()]
 

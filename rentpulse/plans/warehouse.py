@@ -31,8 +31,8 @@ class Warehouse:
     def __init__(self, raw_listings: DataFrame, raw_reviews: DataFrame, rules: RentalRules | None = None):
         self.raw_listings = raw_listings
         self.raw_reviews = raw_reviews
-        self.rules = rules or RentalRules()
         self.spark: SparkSession = raw_listings.sparkSession
+        self.rules = (rules or RentalRules()).resolved(self.spark)
 
     @cached_property
     def price_caps(self) -> DataFrame:
@@ -116,7 +116,8 @@ class Warehouse:
 
     def marts_consistency(self) -> DataFrame:
         return checks.check_marts_consistency(
-            self.window_listings,
+            self.fact_listings,
+            self.dim_listing,
             self.mart_city_comparison,
             self.mart_neighbourhood_pressure,
             self.mart_host_profile,

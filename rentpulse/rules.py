@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # They must equal the published labels, thresholds and domains.
@@ -32,6 +32,11 @@ HOST_PROFILES = (SINGLE_HOST, MULTI_HOST, PROFESSIONAL_HOST)
 
 UNASSIGNED_NEIGHBOURHOOD = "no asignado"
 
+# Texts of the reconciliation.
+COUNT_MESSAGE = "listings: fact={fact} vs mart={mart} (diff {diff}% > {limit}%)"
+COVERAGE_MESSAGE = "cobertura revenue: {filled}/{all} hosts ({pct}% < {limit}%)"
+
+# City names as shown.
 CITY_LABELS = {
     "barcelona": "Barcelona",
     "euskadi": "Euskadi",
@@ -47,7 +52,10 @@ CITY_LABELS = {
 
 @dataclass(frozen=True)
 class RentalRules:
-    """Every number a run can change. ``as_of=None`` means the run date."""
+    """Every number a run can change. ``as_of=None`` means the run date.
+
+    Fixed values: the defaults equal the published thresholds and weights.
+    """
 
     as_of: dt.date | None = None
     cap_percentile: float = 0.95
@@ -64,6 +72,12 @@ class RentalRules:
     min_revenue_coverage_pct: float = 40.0
     cities: tuple[str, ...] = tuple(CITY_LABELS)
 
+    def resolved(self, spark: SparkSession) -> RentalRules:
+        """The rules with the run date filled in, so that all jobs of a run agree on it."""
+        if self.as_of is not None:
+            return self
+        return replace(self, as_of=spark.range(1).select(F.current_date()).first()[0])
+
     @property
     def today(self) -> Column:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)

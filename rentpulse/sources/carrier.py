@@ -145,12 +145,6 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _spread(rows: DataFrame, source: DataFrame) -> DataFrame:
-    """Give rows that stem from a few small files to all cores; those of many files stay put."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if len(source.inputFiles()) >= cores else rows.repartition(cores)
-
-
 def _customer_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers with their nation and city."""
     cities = read_table(spark, sf_dir, "region").selectExpr("r_regionkey AS n_regionkey", f"{_CITY} AS city")
@@ -175,8 +169,7 @@ def raw_listings_from(spark: SparkSession, sf_dir: str, some_orders: DataFrame)
         F.expr("count_if(kind = '5') AS n_shared"),
     )
     hosts = counts.join(_customer_places(spark, sf_dir), "o_custkey")
-    rows = some_orders.join(hosts, "o_custkey").selectExpr("*", _COPIES)
-    rows = _spread(rows, some_orders)
+    rows = some_orders.join(hosts, "o_custkey").hint("rebalance").selectExpr("*", _COPIES)
     return rows.selectExpr(*[f"{_LISTING.get(c, 'cast(NULL AS string)')} AS {c}" for c in (*LISTING_COLUMNS, "city")])
 
 
@@ -200,7 +193,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = _customer_places(spark, sf_dir).select("o_custkey", "city")
     order_city = orders(spark, sf_dir).select("k", "o_custkey").join(places, "o_custkey")
     columns = [f"{_REVIEW[c]} AS {c}" for c in (*REVIEW_COLUMNS, "city")]
-    return _spread(lines.join(order_city, "k"), lines).selectExpr(*columns)
+    return lines.join(order_city, "k").hint("rebalance").selectExpr(*columns)
 
 
 def first_snapshot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

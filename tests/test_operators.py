@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rentpulse import rules as R
 from rentpulse.operators import dedup, incremental, percentile, quality, scd2, winsorize
 from rentpulse.sources import tables
 
@@ -89,6 +90,16 @@ def test_latest_window_ignores_older_snapshots(spark):
     assert rows(dedup.latest_window(new.union(old), "city", "id", "d", 30)) == rows(new)
 
 
+def test_latest_window_reads_only_the_partitions_it_needs(spark, tmp_path):
+    rows_ = [(c, i, day(d)) for c in "xy" for i in range(5) for d in ("01-10", "03-20", "06-20", "06-25")]
+    spark.createDataFrame(rows_, "city string, id int, d date").write.partitionBy("city", "d").parquet(str(tmp_path / "t"))
+    stored = spark.read.schema("id int, city string, d date").parquet(str(tmp_path / "t"))
+    out = dedup.within_latest(stored, "city", "d", 30)
+    assert {str(r.d) for r in out.collect()} == {"2026-06-20", "2026-06-25"} and out.count() == 20
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
 def test_keep_first_is_deterministic_and_cut_before_the_shuffle(spark):
     data = [(1, 5, i) for i in range(200)] + [(2, 1, 0), (None, 2, 1), (None, 2, 2)]
     df = spark.createDataFrame(data, "k int, o int, x int")
@@ -187,7 +198,7 @@ def test_quality_checks(spark):
 def test_reconciliation_finds_missing_groups(spark):
     fact = spark.createDataFrame([("x", 100), ("y", 100), ("z", 100)], "city string, n bigint")
     mart = spark.createDataFrame([("x", 96), ("y", 90), ("w", 1)], "city string, n bigint")
-    out = quality.count_reconciliation(mart, fact, "city", "m", 5.0)
+    out = quality.count_reconciliation(mart, fact, "city", "m", 5.0, R.COUNT_MESSAGE)
     assert rows(out, "city", "detail") == [
         ("w", "listings: fact=0 vs mart=1 (diff n/a% > 5%)"),
         ("y", "listings: fact=100 vs mart=90 (diff 10.0% > 5%)"),
@@ -198,7 +209,7 @@ def test_reconciliation_finds_missing_groups(spark):
 def test_coverage_floor(spark):
     data = [("x", 1.0), ("x", None), ("x", None), ("y", 1.0)]
     df = spark.createDataFrame(data, "city string, revenue double")
-    out = quality.coverage_floor(df, "revenue", "city", "m", "revenue", 40.0)
+    out = quality.coverage_floor(df, "revenue", "city", "m", 40.0, R.COVERAGE_MESSAGE)
     assert rows(out) == [("m", "x", "cobertura revenue: 1/3 hosts (33.3% < 40%)")]
 
 

@@ -138,6 +138,16 @@ def test_broken_marts_are_caught(spark):
     }
 
 
+def test_a_fault_in_the_shared_window_is_caught(spark, monkeypatch):
+    """The marts read one window table; its check must not."""
+    rows = [listing(id=str(i), host_id=str(i), last_scraped=f"2026-06-{20 + i % 10}") for i in range(40)]
+    wh = warehouse(spark, rows)
+    right = marts.within_latest
+    monkeypatch.setattr(marts, "within_latest", lambda df, group, date, days: right(df, group, date, 0))
+    failures = {r.mart for r in wh.marts_consistency().collect()}
+    assert failures >= {"mart_city_comparison", "mart_neighbourhood_pressure"}
+
+
 def test_published_build_is_idempotent_and_keeps_history(spark, tmp_path):
     review = [("1", "100", "2026-05-03", "7", "Guest", "ok", "sevilla"), ("1", "101", "", "8", "Guest", "ok", "sevilla")]
     june = [listing(), listing(id="2", host_id="11")]
