@@ -112,7 +112,7 @@ SELECT l_orderkey::varchar AS listing_id,
        l_partkey::varchar AS reviewer_id,
        'Guest ' || l_partkey::varchar AS reviewer_name,
        'Muy bien, todo perfecto' AS comments,
-       city
+       CASE WHEN l_orderkey % 103 <> 0 THEN city WHEN city = 'mallorca' THEN 'menorca' ELSE 'mallorca' END AS city
 FROM lineitem
 JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey

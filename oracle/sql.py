@@ -460,14 +460,34 @@ def _sources() -> dict[str, str]:
         f"CASE WHEN {c} NOT IN ({tokens}) THEN {c} END AS {c}"
         for c in ("id", "price", "availability_365", "host_response_rate", "host_since")
     )
+
+    def absent(col: str) -> str:
+        return f"CASE WHEN {col} NOT IN ({tokens}) THEN {col} END"
+
     return {
         "src_schema_align": f"SELECT {aligned} FROM raw",
         "src_null_tokens": f"SELECT {cleaned} FROM raw",
         "src_tag_group": "SELECT id, price, 'madrid' AS city FROM raw",
         "src_group_reload": """
 SELECT id, price, city FROM raw WHERE city NOT IN ('madrid', 'mallorca') OR price IS NOT NULL""",
-        "val_group_counts": "SELECT city, count(*) AS n FROM raw GROUP BY city",
-        "val_null_by_group": "SELECT city, count(*) AS n FROM raw WHERE room_type IS NULL GROUP BY city",
+        "val_group_counts": """
+SELECT city, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, city) AS place FROM raw GROUP BY city""",
+        "val_null_by_group": """
+SELECT city, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, city) AS place
+FROM raw WHERE room_type IS NULL GROUP BY city""",
+        "src_csv_listings": f"""
+SELECT id, name, amenities, {absent("price")} AS price, {absent("host_since")} AS host_since, NULL::varchar AS license, city
+FROM raw""",
+        "src_csv_reviews": """
+SELECT listing_id, id, nullif(date, '') AS date, reviewer_id, reviewer_name, comments, city FROM raw_rev
+WHERE city = 'madrid'""",
+        "src_export_fold": "SELECT * FROM dim_neighbourhood",
+        "src_export_summary": """
+SELECT 2 AS tables, (SELECT count(*) FROM dim_neighbourhood) + (SELECT count(*) FROM monthly) AS n_rows, true AS has_size""",
+        "expr_format": """
+SELECT o_orderkey AS id, format('{:,}', (o_orderkey * 1000 + 7)::bigint) AS shown_count,
+       printf('%.1f', (o_orderkey % 4001) / 40) || '%' AS shown_pct,
+       '$' || format('{:,}', round_even(o_orderkey * 7 / 2, 0)::bigint) AS shown_money FROM orders""",
     }
 
 
@@ -621,7 +641,8 @@ SELECT review_year, sum(total_reviews)::bigint AS total_reviews FROM by_year GRO
 SELECT * FROM by_year WHERE ciudad IN (
   SELECT ciudad FROM by_year GROUP BY ciudad ORDER BY sum(total_reviews) DESC, ciudad LIMIT 5)""",
         "dash_reviews_stacked": """
-SELECT *, sum(total_reviews) OVER (PARTITION BY ciudad)::bigint AS city_total FROM by_year""",
+SELECT *, row_number() OVER (ORDER BY city_total DESC, ciudad, review_year) AS place
+FROM (SELECT *, sum(total_reviews) OVER (PARTITION BY ciudad)::bigint AS city_total FROM by_year) y""",
         "dash_host_kpis": f"""
 SELECT count(DISTINCT host_id) AS total_hosts,
        {rnd(f"count(DISTINCT CASE WHEN {pro} THEN host_id END) / greatest(count(DISTINCT host_id), 1) * 100", 2)}
@@ -644,9 +665,11 @@ WHERE total_listings >= 20
 ORDER BY avg_estimated_revenue DESC NULLS LAST, neighbourhood_cleansed, ciudad LIMIT 15""",
         "dash_city_table": f"""
 SELECT {label}, total_listings, pct_entire_home, median_price_winsorized, avg_estimated_revenue,
-       pct_professional_operators FROM city_mart""",
+       pct_professional_operators, row_number() OVER (ORDER BY total_listings DESC, {CITY_LABEL}) AS place
+FROM city_mart""",
         "dash_top_hosts": f"""
-SELECT host_name, {label}, total_listings, entire_home_listings, estimated_annual_revenue FROM host_mart
+SELECT host_name, {label}, total_listings, entire_home_listings, estimated_annual_revenue,
+       row_number() OVER (ORDER BY estimated_annual_revenue DESC NULLS LAST, host_id, {CITY_LABEL}) AS place FROM host_mart
 WHERE {pro} ORDER BY estimated_annual_revenue DESC NULLS LAST, host_id, ciudad LIMIT 10""",
     }
 

@@ -27,16 +27,18 @@ def incremental_load(
 ) -> DataFrame:
     """Add the unseen partitions of ``df`` to the table at ``path`` and return the table.
 
-    An incoming row replaces a stored row with the same unique key in another partition; only
-    the partitions that hold such rows are rewritten, in the same write. Partitions left without
-    rows are dropped before it: if the write then fails, a retry still sees their replacements
-    as unseen.
+    The incoming rows are computed once, into a staged table. An incoming row replaces a stored row
+    with the same unique key in another partition; only the partitions that hold such rows are
+    rewritten, in the same write, and partitions left without rows are dropped after it: a load that
+    dies in between loses nothing, and a reader may see a moved row twice until the next load, which
+    drops it.
     """
     spark = df.sparkSession
     keys = list(partition_by)
     has_null = F.lit(False)
     for key in keys:
         has_null = has_null | F.col(key).isNull()
+    df = materialize(df, "incoming")
     if not df.filter(has_null).isEmpty():
         raise ValueError(f"NULL in the partition columns {keys}: such rows would load again on every run")
 
@@ -53,7 +55,8 @@ def incremental_load(
     touched = materialize(replaced.select(*keys).distinct(), "touched")
     kept = stored.join(touched, keys, "left_semi").join(fresh.select(*unique_key), list(unique_key), "left_anti")
     rewritten = materialize(kept, "kept")
-    emptied = touched.join(rewritten.select(*keys).distinct(), keys, "left_anti")
-    drop_partitions(spark, path, emptied)
+    refilled = rewritten.select(*keys).unionByName(fresh.select(*keys)).distinct()
+    emptied = materialize(touched.join(refilled, keys, "left_anti"), "emptied")
     overwrite_partitions(fresh.unionByName(rewritten), path, keys)
+    drop_partitions(spark, path, emptied, df.schema)
     return read_table(spark, path, df.schema)

@@ -22,9 +22,16 @@ def scd2_first_load(dim: DataFrame, as_of: dt.date) -> DataFrame:
 
 
 def scd2_step(
-    open_versions: DataFrame, dim: DataFrame, key: str, check_cols: Sequence[str], as_of: dt.date
+    open_versions: DataFrame,
+    dim: DataFrame,
+    key: str,
+    check_cols: Sequence[str],
+    as_of: dt.date,
+    *,
+    changes_only: bool = False,
 ) -> DataFrame:
-    """What the open versions become when ``dim`` is seen on ``as_of``.
+    """What the open versions become when ``dim`` is seen on ``as_of``; with ``changes_only``, only the
+    versions that are opened or closed.
 
     Changed keys close their version and open a new one, vanished keys close, new and returning
     keys open; unchanged keys keep their stored row. Only ``check_cols`` count as a change. One
@@ -52,12 +59,9 @@ def scd2_step(
     kept = version("__old", F.col("__old.valid_from"), open_end, True)
     closed = version("__old", F.col("__old.valid_from"), F.lit(as_of), False)
     opened = version("__new", F.lit(as_of), open_end, True)
-    versions = (
-        F.when(is_new, F.array(opened))
-        .when(is_gone, F.array(closed))
-        .when(changed, F.array(closed, opened))
-        .otherwise(F.array(kept))
-    )
+    versions = F.when(is_new, F.array(opened)).when(is_gone, F.array(closed)).when(changed, F.array(closed, opened))
+    if not changes_only:  # else unchanged keys have no versions, and explode drops them
+        versions = versions.otherwise(F.array(kept))
     return (
         stored.join(incoming, "__key", "full_outer")
         .select(F.explode(versions).alias("__version"))
@@ -74,6 +78,15 @@ def scd2_apply(
     return history.filter(~F.col("is_current")).unionByName(live)
 
 
+def scd2_from_log(log: DataFrame, key: str) -> DataFrame:
+    """The history that a log of opened and closed versions tells: a closed version supersedes the row
+    that once opened it."""
+    closed = log.filter(F.col("valid_to").isNotNull())
+    ended = closed.select(F.col(key).alias("__key"), F.col("valid_from").alias("__from"))
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("valid_from") == F.col("__from"))
+    return log.filter(F.col("valid_to").isNull()).join(ended, same, "left_anti").unionByName(closed)
+
+
 def scd2_current(history: DataFrame) -> DataFrame:
     return history.filter("is_current")
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import TypeVar
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentpulse import rules as R
@@ -13,6 +14,7 @@ from rentpulse.operators import quality as Q
 from rentpulse.rules import RentalRules
 
 Tables = Callable[[str], DataFrame]
+T = TypeVar("T")
 
 # Columns that must not be NULL, per table.
 NOT_NULL = {
@@ -45,6 +47,15 @@ UNIQUE_COMBINATIONS = [
     ("fact_listings", ["listing_id", "snapshot_date"]),
 ]
 
+# Views that are projections of the same rows; rules on them are evaluated on those rows, together.
+SAME_ROWS = {
+    "stg_details": "typed_listings",
+    "stg_host": "typed_listings",
+    "stg_location": "typed_listings",
+    "stg_availability": "typed_listings",
+    "stg_review_scores": "typed_listings",
+}
+
 # Foreign keys.
 RELATIONSHIPS = [
     ("fact_listings", "neighbourhood_id", "dim_neighbourhood", "neighbourhood_id"),
@@ -72,12 +83,27 @@ def _tagged(df: DataFrame, table: str, column: str) -> DataFrame:
     return df.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "*")
 
 
+def _shared(rules: list[tuple[str, T]]) -> dict[tuple[str, T], list[str]]:
+    """Tables per (rows, rule): tables that show the same rows share a rule's evaluation."""
+    found: dict[tuple[str, T], list[str]] = {}
+    for table, rule in rules:
+        found.setdefault((SAME_ROWS.get(table, table), rule), []).append(table)
+    return found
+
+
+def _for_tables(names: list[str]) -> Column:
+    return F.explode(F.array(*map(F.lit, names))).alias("table_name")
+
+
 def check_not_null(tables: Tables) -> DataFrame:
-    """(table_name, column_name, violations) for every rule, also those that hold."""
-    frames = [
-        Q.null_counts(tables(table), columns).select(F.lit(table).alias("table_name"), "*")
-        for table, columns in NOT_NULL.items()
-    ]
+    """(table_name, column_name, violations) for every rule, also those that hold; one pass per set of rows."""
+    shared = _shared([(table, column) for table, columns in NOT_NULL.items() for column in columns])
+    frames = []
+    for rows in dict.fromkeys(rows for rows, _ in shared):
+        named = {column: names for (where, column), names in shared.items() if where == rows}
+        owners = F.create_map(*[part for c, names in named.items() for part in (F.lit(c), F.array(*map(F.lit, names)))])
+        counts = Q.null_counts(tables(rows), list(named))
+        frames.append(counts.select(F.explode(owners[F.col("column_name")]).alias("table_name"), "*"))
     return union_all(frames)
 
 
@@ -93,10 +119,10 @@ def check_unique(tables: Tables) -> DataFrame:
 def check_unique_combinations(tables: Tables) -> DataFrame:
     """Repeated combinations, as (table_name, column_name, value, n_rows)."""
     frames = []
-    for table, columns in UNIQUE_COMBINATIONS:
+    for (rows, columns), names in _shared([(table, tuple(columns)) for table, columns in UNIQUE_COMBINATIONS]).items():
         value = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
-        repeated = Q.unique_combination(tables(table), columns).select(value.alias("value"), "n_rows")
-        frames.append(_tagged(repeated, table, ",".join(columns)))
+        repeated = Q.unique_combination(tables(rows), list(columns))
+        frames.append(repeated.select(_for_tables(names), F.lit(",".join(columns)).alias("column_name"), value.alias("value"), "n_rows"))
     return union_all(frames)
 
 

@@ -9,12 +9,13 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rentpulse import rules as R
 from rentpulse.functions import cleanse as C
 from rentpulse.functions import dates as D
+from rentpulse.functions import labels as L
 from rentpulse.functions.keys import surrogate_key
 from rentpulse.functions.numeric import safe_divide
 from rentpulse.operators import dedup, percentile, quality, scd2, winsorize
@@ -53,6 +54,12 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.select(*[F.round(_c(c), digits).alias(c) if c in doubles else _c(c) for c in df.columns])
 
 
+def placed(df: DataFrame) -> DataFrame:
+    """Adds the place of each row in the order the frame has; for results of a few rows."""
+    numbered = df.withColumn("place", F.monotonically_increasing_id())
+    return numbered.withColumn("place", F.row_number().over(Window.orderBy("place")))
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return carrier.raw_listings(spark, sf_dir)
 
@@ -205,6 +212,63 @@ def src_tag_group(spark, sf_dir):
     return extracts.tag_group(_raw(spark, sf_dir).select("id", "price"), "city", "madrid")
 
 
+@query
+def src_csv_listings(spark, sf_dir):
+    """All cities' listings written as gzipped CSV and loaded again, columns by name."""
+    root = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    out = _raw(spark, sf_dir).select("price", "amenities", "id", "host_since", "name", F.lit("x").alias("extra"), "city")
+    out.write.partitionBy("city").options(header=True, escape='"', compression="gzip", emptyValue="").csv(f"{root}/in")
+    cities = [row.city for row in out.select("city").distinct().collect()]  # one folder each
+    extracts.load_listings(spark, {city: f"{root}/in/city={city}" for city in cities}, f"{root}/bronze")
+    loaded = tables.read_table(spark, f"{root}/bronze", extracts.text_schema([*extracts.LISTING_COLUMNS, "city"]))
+    return loaded.select("id", "name", "amenities", "price", "host_since", "license", "city")
+
+
+@query
+def src_csv_reviews(spark, sf_dir):
+    """One city's reviews written as gzipped CSV with other headers and loaded again, columns by position."""
+    root = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows = carrier.raw_reviews(spark, sf_dir).filter(_c("city") == "madrid").select(*extracts.REVIEW_COLUMNS)
+    renamed = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    renamed.write.options(header=True, escape='"', compression="gzip", emptyValue="").csv(f"{root}/in")
+    extracts.load_reviews(spark, {"madrid": f"{root}/in"}, f"{root}/bronze")
+    return tables.read_table(spark, f"{root}/bronze", extracts.text_schema([*extracts.REVIEW_COLUMNS, "city"]))
+
+
+def _exported(spark: SparkSession, sf_dir: str, root: str) -> list[tables.ExportResult]:
+    location = silver.stg_location(_raw(spark, sf_dir))
+    places = dims.dim_neighbourhood(location)
+    shouted = places.toDF(*[c.upper() for c in places.columns])
+    return tables.export_tables({"places": shouted, "reviews": fact_reviews_monthly(spark, sf_dir)}, root)
+
+
+@query
+def src_export_fold(spark, sf_dir):
+    """A table with upper-case columns after its export."""
+    root = f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"
+    _exported(spark, sf_dir, root)
+    return tables.read_table(spark, f"{root}/places.parquet")
+
+
+@query
+def src_export_summary(spark, sf_dir):
+    summary = tables.export_summary(_exported(spark, sf_dir, f"{shared_dir(spark)}/export-{uuid.uuid4().hex}"))
+    row = (summary["tables"], summary["rows"], summary["megabytes"] > 0)
+    return spark.createDataFrame([row], "tables bigint, n_rows bigint, has_size boolean")
+
+
+@query
+def expr_format(spark, sf_dir):
+    """Counts, percentages and amounts as the dashboard shows them."""
+    orders = carrier.orders(spark, sf_dir)
+    return orders.select(
+        _c("k").alias("id"),
+        L.format_count(_c("k") * 1000 + 7).alias("shown_count"),
+        L.format_pct(_c("k") % 4001 / 40).alias("shown_pct"),
+        L.format_money(_c("k") * 7 / 2).alias("shown_money"),
+    )
+
+
 @query
 def src_group_reload(spark, sf_dir):
     """Load all cities, then reload two of them with only their priced listings."""
@@ -217,12 +281,12 @@ def src_group_reload(spark, sf_dir):
 
 @query
 def val_group_counts(spark, sf_dir):
-    return tables.group_counts(_raw(spark, sf_dir), "city")
+    return placed(tables.group_counts(_raw(spark, sf_dir), "city"))
 
 
 @query
 def val_null_by_group(spark, sf_dir):
-    return tables.null_counts_by_group(_raw(spark, sf_dir), "city", "room_type")
+    return placed(tables.null_counts_by_group(_raw(spark, sf_dir), "city", "room_type"))
 
 
 # Silver
@@ -583,7 +647,7 @@ def dash_reviews_top5(spark, sf_dir):
 
 @query
 def dash_reviews_stacked(spark, sf_dir):
-    return dashboard.reviews_stacked(_reviews_by_year(spark, sf_dir))
+    return placed(dashboard.reviews_stacked(_reviews_by_year(spark, sf_dir)))
 
 
 @query
@@ -614,9 +678,9 @@ def dash_top_neighbourhoods(spark, sf_dir):
 
 @query
 def dash_city_table(spark, sf_dir):
-    return dashboard.city_table(_warehouse(spark, sf_dir).mart_city_comparison)
+    return placed(dashboard.city_table(_warehouse(spark, sf_dir).mart_city_comparison))
 
 
 @query
 def dash_top_hosts(spark, sf_dir):
-    return dashboard.top_hosts(_warehouse(spark, sf_dir).mart_host_profile)
+    return placed(dashboard.top_hosts(_warehouse(spark, sf_dir).mart_host_profile))

@@ -201,13 +201,8 @@ def stg_reviews(raw: DataFrame) -> DataFrame:
     )
 
 
-def wide_listings(raw: DataFrame, rules: RentalRules, caps: DataFrame) -> DataFrame:
-    """All typed columns of a raw listing in one projection.
-
-    The typed views are projections of the same raw row, so reading them together replaces a
-    self-join by listing id; it also keeps a row's attributes together when a listing occurs in
-    several cities or snapshots.
-    """
+def typed_listings(raw: DataFrame, rules: RentalRules) -> DataFrame:
+    """All typed columns of a raw listing that need no statistic of its city: a plain projection."""
     columns = {
         **_detail_columns(),
         **_host_columns(rules),
@@ -217,5 +212,15 @@ def wide_listings(raw: DataFrame, rules: RentalRules, caps: DataFrame) -> DataFr
         "listing_id": C.strict_long("id"),
         "__accommodates": C.try_long("accommodates"),
     }
-    wide = _with_capped_price(raw.select(*_named(columns)), caps)
+    return raw.select(*_named(columns))
+
+
+def wide_listings(raw: DataFrame, rules: RentalRules, caps: DataFrame) -> DataFrame:
+    """All typed columns of a raw listing in one projection.
+
+    The typed views are projections of the same raw row, so reading them together replaces a
+    self-join by listing id; it also keeps a row's attributes together when a listing occurs in
+    several cities or snapshots.
+    """
+    wide = _with_capped_price(typed_listings(raw, rules), caps)
     return wide.withColumnRenamed("last_scraped", "snapshot_date").drop("price_cap", "__accommodates")

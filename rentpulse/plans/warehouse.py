@@ -7,11 +7,10 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from rentpulse.functions.dates import try_date
 from rentpulse.operators.incremental import incremental_load, unseen_partitions
-from rentpulse.operators.scd2 import scd2_first_load, scd2_step
+from rentpulse.operators.scd2 import scd2_current, scd2_first_load, scd2_from_log, scd2_step
 from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
 from rentpulse.rules import RentalRules
 from rentpulse.sources import tables as T
@@ -38,6 +37,10 @@ class Warehouse:
     def price_caps(self) -> DataFrame:
         return silver.price_caps(self.raw_listings, self.rules)
 
+    @cached_property
+    def typed_listings(self) -> DataFrame:
+        return silver.typed_listings(self.raw_listings, self.rules)
+
     @cached_property
     def wide(self) -> DataFrame:
         return silver.wide_listings(self.raw_listings, self.rules, self.price_caps)
@@ -114,6 +117,10 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 
+    def load_checks(self) -> dict[str, DataFrame]:
+        """Checks of the load itself, as (table_name, detail, severity) by check name."""
+        return {}
+
     def marts_consistency(self) -> DataFrame:
         return checks.check_marts_consistency(
             self.fact_listings,
@@ -153,9 +160,7 @@ class PublishedWarehouse(Warehouse):
         self.root = root
 
     def _publish(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return T.read_table(self.spark, path, df.schema)
+        return T.publish_version(df, f"{self.root}/{name}")
 
     @cached_property
     def dim_listing(self) -> DataFrame:
@@ -173,35 +178,42 @@ class PublishedWarehouse(Warehouse):
         de-duplication, so a load costs what is new rather than the whole history.
         """
         path = f"{self.root}/fact_listings"
-        raw = self.raw_listings
+        raw = self.raw_listings.filter(try_date("last_scraped").isNotNull() & F.col("city").isNotNull())
+
+        def fact(listings: DataFrame) -> DataFrame:
+            return facts.fact_listings(silver.wide_listings(listings, self.rules, self.price_caps), self.dim_host, self.rules)
+
         if T.table_exists(self.spark, path):
-            stored = T.read_table(self.spark, path)
+            stored = T.read_table(self.spark, path, fact(raw).schema)
             dated = raw.withColumn("snapshot_date", try_date("last_scraped"))
             raw = unseen_partitions(dated, stored, facts.FACT_PARTITIONS).drop("snapshot_date")
-        rows = silver.wide_listings(raw, self.rules, self.price_caps)
-        fact = facts.fact_listings(rows, self.dim_host, self.rules)
-        return incremental_load(fact, path, facts.FACT_PARTITIONS, facts.FACT_KEYS)
+        return incremental_load(fact(raw), path, facts.FACT_PARTITIONS, facts.FACT_KEYS)
+
+    @cached_property
+    def rejected_listings(self) -> DataFrame:
+        """Raw listings the fact cannot place: without city or a readable scrape date. The rest loads."""
+        bad = try_date("last_scraped").isNull() | F.col("city").isNull()
+        return self._publish("rejected_listings", self.raw_listings.filter(bad))
 
     def host_history(self, as_of: dt.date) -> DataFrame:
         """Apply the current host dimension to the stored history and return the new history.
 
-        Each run writes one folder with all open versions and the versions it closed; older closed
-        versions stay where they are, so a run costs the size of the dimension and not that of the
-        history. A folder counts once its success marker exists, and no run overwrites what it reads.
+        Each run appends one folder with the versions it opened and closed, nothing for hosts that did
+        not change; a version that is closed later is superseded when reading. A folder counts once its
+        success marker exists, and no run overwrites what it reads.
         """
         base = f"{self.root}/dim_host_snapshot"
         done = T.complete_versions(self.spark, base)
         step = scd2_first_load(self.dim_host, as_of)
-        columns = step.columns
-        stored = self.spark.read.schema(step.schema.add("version", IntegerType()))
+        schema = step.schema
         if done:
-            opened = stored.parquet(base).filter((F.col("version") == done[-1]) & F.col("is_current"))
-            step = scd2_step(opened.select(columns), self.dim_host, SCD2_KEY, SCD2_CHECK_COLUMNS, as_of)
+            log = self.spark.read.schema(schema).parquet(*[T.version_path(base, v) for v in done])
+            opened = scd2_current(scd2_from_log(log, SCD2_KEY))
+            step = scd2_step(opened, self.dim_host, SCD2_KEY, SCD2_CHECK_COLUMNS, as_of, changes_only=True)
         done.append(done[-1] + 1 if done else 1)
-        step.write.mode("overwrite").partitionBy("is_current").parquet(T.version_path(base, done[-1]))
-        is_open = (F.col("version") == done[-1]) & F.col("is_current")
-        is_closed = F.col("version").isin(done) & ~F.col("is_current")
-        return stored.parquet(base).filter(is_open | is_closed).select(columns)
+        step.write.mode("overwrite").parquet(T.version_path(base, done[-1]))
+        log = self.spark.read.schema(schema).parquet(*[T.version_path(base, v) for v in done])
+        return scd2_from_log(log, SCD2_KEY)
 
     def build(self, as_of: dt.date) -> DataFrame:
         """Publish every gold table and return the failed checks as (check_name, table_name, detail)."""
@@ -210,6 +222,11 @@ class PublishedWarehouse(Warehouse):
             self.__dict__[name] = self._publish(name, self.table(name))
         return self.failed_checks()
 
+    def load_checks(self) -> dict[str, DataFrame]:
+        counts = T.group_counts(self.rejected_listings, "city")
+        detail = F.concat(F.col("n").cast("string"), F.lit(" rows without a usable key in "), F.coalesce("city", F.lit("no city")))
+        return {"rejected": counts.select(F.lit("raw_listings"), detail, F.lit("error"))}
+
     def failed_checks(self) -> DataFrame:
         """All quality rules in one frame; no row of severity ``error`` means the build is good."""
         rows = F.concat(F.col("n_rows").cast("string"), F.lit(" rows with "))
@@ -232,7 +249,7 @@ class PublishedWarehouse(Warehouse):
             "consistency": self.marts_consistency().select(
                 "mart", F.concat_ws(": ", "city", "detail"), F.lit("error")
             ),
-        }
+        } | self.load_checks()
         frames = [df.toDF("table_name", "detail", "severity").withColumn("check_name", F.lit(name)) for name, df in parts.items()]
         return checks.union_all(frames).select("check_name", "table_name", "severity", "detail")
 

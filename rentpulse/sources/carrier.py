@@ -184,7 +184,8 @@ _REVIEW = {
     "reviewer_id": _text("l_partkey"),
     "reviewer_name": "concat('Guest ', l_partkey)",
     "comments": "'Muy bien, todo perfecto'",
-    "city": "city",
+    # Reviews of overlapping listings come with the second city, so there is a sixth.
+    "city": "CASE WHEN k % 103 != 0 THEN city WHEN city = 'mallorca' THEN 'menorca' ELSE 'mallorca' END",
 }
 
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rentpulse.sources.scratch import materialize
+
 
 def _path(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -46,14 +48,15 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
-def drop_partitions(spark: SparkSession, path: str, partitions: DataFrame) -> None:
+def drop_partitions(spark: SparkSession, path: str, partitions: DataFrame, schema: StructType | None = None) -> None:
     """Remove the partition folders of a table that ``partitions`` names by their key columns.
 
-    Only folder names reach the driver, which lists them for every read anyway.
+    The folders are those Spark itself reads the rows from, so escaped names are met. Only folder
+    names reach the driver, which lists them for every read anyway.
     """
     keys = partitions.columns
     folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder")
-    folders = read_table(spark, path).select(*keys, folder).join(partitions, keys, "left_semi")
+    folders = read_table(spark, path, schema).select(*keys, folder).join(partitions, keys, "left_semi")
     for row in folders.select("folder").distinct().toLocalIterator():
         jvm_path, fs = _path(spark, spark._jvm.java.net.URI(row.folder))
         fs.delete(jvm_path, True)
@@ -65,24 +68,22 @@ def reload_group(
     """Idempotent load: the rows of the named groups replace what the table holds for them.
 
     Other groups stay untouched, also when ``df`` carries rows of them. A group without
-    incoming rows is an error and keeps its stored rows, unless ``allow_empty`` says that its
-    partition shall go. Returns the loaded rows per group.
+    incoming rows is an error, unless ``allow_empty`` says that its partition shall go. The incoming
+    rows are staged and counted first: nothing stored changes when the call fails its checks. Returns
+    the loaded rows per group.
     """
     spark = df.sparkSession
-    loaded = dict.fromkeys(groups, 0)
-    incoming = df.filter(F.col(group_col).isin(*groups))
-    if not incoming.isEmpty():
-        observed = Observation()
-        counts = [F.count_if(F.col(group_col) == g).alias(f"n{i}") for i, g in enumerate(groups)]
-        overwrite_partitions(incoming.observe(observed, *counts), path, [group_col])
-        loaded = {g: observed.get[f"n{i}"] for i, g in enumerate(groups)}
-
+    incoming = materialize(df.filter(F.col(group_col).isin(*groups)), "incoming")
+    counted = {row[group_col]: row["n"] for row in group_counts(incoming, group_col).collect()}  # named groups only
+    loaded = {group: counted.get(group, 0) for group in groups}
     empty = [g for g, n in loaded.items() if n == 0]
     if empty and not allow_empty:
-        raise ValueError(f"no incoming rows for {group_col} in {empty}; stored rows kept")
-    for group in empty:
-        jvm_path, fs = _path(spark, f"{path}/{group_col}={group}")
-        fs.delete(jvm_path, True)
+        raise ValueError(f"no incoming rows for {group_col} in {empty}; all stored rows kept")
+    if counted:
+        overwrite_partitions(incoming, path, [group_col])
+    if empty and table_exists(spark, path):
+        named = spark.createDataFrame([(g,) for g in empty], f"{group_col} string")
+        drop_partitions(spark, path, named, df.schema)
     return loaded
 
 
@@ -150,3 +151,25 @@ def complete_versions(spark: SparkSession, base: str) -> list[int]:
     names = [status.getPath().getName() for status in fs.listStatus(jvm_path)]
     found = [n for n in names if n.startswith("version=") and table_exists(spark, f"{base}/{n}/_SUCCESS")]
     return sorted(int(n.removeprefix("version=")) for n in found)
+
+
+def publish_version(df: DataFrame, base: str) -> DataFrame:
+    """Write a whole table as its next version and return it.
+
+    A version counts once its success marker exists, so readers see the old table until the new one is
+    complete, and a failed write leaves the old one. The version before stays for readers that have
+    begun; older ones go.
+    """
+    spark = df.sparkSession
+    done = complete_versions(spark, base)
+    path = version_path(base, done[-1] + 1 if done else 1)
+    df.write.mode("overwrite").parquet(path)
+    for old in done[:-1]:
+        jvm_path, fs = _path(spark, version_path(base, old))
+        fs.delete(jvm_path, True)
+    return read_table(spark, path, df.schema)
+
+
+def latest_version(spark: SparkSession, base: str) -> DataFrame:
+    """The newest complete version of a published table."""
+    return read_table(spark, version_path(base, complete_versions(spark, base)[-1]))
