@@ -110,7 +110,7 @@ def reviews_top_cities(by_year: DataFrame, n: int = 5) -> DataFrame:
     """Yearly series of the n cities with most reviews."""
     totals = by_year.groupBy("ciudad").agg(F.sum("total_reviews").alias("__total"))
     top = totals.orderBy(F.desc("__total"), "ciudad").limit(n).select("ciudad")
-    return by_year.join(F.broadcast(top), "ciudad", "left_semi")
+    return by_year.join(top, "ciudad", "left_semi")
 
 
 def reviews_stacked(by_year: DataFrame) -> DataFrame:

@@ -22,7 +22,6 @@ from rentpulse.operators import dedup, percentile, quality, scd2, winsorize
 from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
 from rentpulse.plans.warehouse import SCD2_CHECK_COLUMNS, SCD2_KEY, PublishedWarehouse, Warehouse
 from rentpulse.rules import RentalRules
-from rentpulse.session import apply_settings
 from rentpulse.sources import carrier, extracts, tables
 from rentpulse.sources.scratch import materialize, shared_dir
 
@@ -38,7 +37,7 @@ _QUERIES: dict[str, Query] = {}
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(apply_settings(spark), sf_dir)
+        return fn(spark, sf_dir)
 
     _QUERIES[fn.__name__] = run
     return fn

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from rentpulse.sources.scratch import temporary_dir
+
 # A projection of many text conversions compiles to a method the JVM refuses to optimise
 # (over 8000 bytes) and then runs interpreted, about four times slower. With this limit such a
 # projection falls back to generated code that is split into small methods.
@@ -35,6 +37,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .appName("rentpulse")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.checkpoint.dir", temporary_dir())
     )
     for key, value in {**STATIC_SETTINGS, **RUNTIME_SETTINGS}.items():
         builder = builder.config(key, value)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,16 +13,24 @@ _DIR_KEY = "spark.checkpoint.dir"
 _local_dirs: dict[str, str] = {}
 
 
+def temporary_dir() -> str:
+    """A folder for a session on this machine alone; it goes when the process ends."""
+    path = tempfile.mkdtemp(prefix="rentpulse-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only for a local master."""
+    """The folder the session names; a temporary one only for a single-process master that names none."""
     configured = spark.conf.get(_DIR_KEY, None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"{_DIR_KEY} must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="rentpulse-")
+        _local_dirs[app] = temporary_dir()
     return _local_dirs[app]
 
 

@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from oracle.sql import all_sql
+from rentpulse.plans.queries import all_queries
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -27,6 +29,9 @@ CHECKED = [
     "dq_marts_regression",
     "dash_kpis_money",
     "dash_reviews_stacked",
+    "src_csv_listings",
+    "src_export_summary",
+    "expr_format",
 ]
 
 
@@ -43,7 +48,8 @@ def ordered(records):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry.queries()) and set(all_sql()) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", CHECKED)

@@ -8,7 +8,7 @@ from rentpulse import rules as R
 from rentpulse.plans import dashboard, marts
 from rentpulse.plans.warehouse import PublishedWarehouse, Warehouse
 from rentpulse.rules import RentalRules
-from rentpulse.sources import extracts
+from rentpulse.sources import extracts, tables
 
 RULES = RentalRules(as_of=dt.date(2026, 7, 15))
 
@@ -187,6 +187,49 @@ def write_gz(path, text):
     return str(path)
 
 
+def test_a_bad_scrape_date_does_not_stop_the_load(spark, tmp_path):
+    rows = [listing(), listing(id="2", last_scraped="n/a"), listing(id="3", city=None)]
+    wh = PublishedWarehouse(str(tmp_path), raw(spark, rows), reviews(spark), RULES)
+    assert [r.listing_id for r in wh.fact_listings.collect()] == [1]
+    assert sorted(r.id for r in wh.rejected_listings.collect()) == ["2", "3"]
+    failed = {(r.check_name, r.detail) for r in wh.failed_checks().filter("check_name = 'rejected'").collect()}
+    assert failed == {("rejected", "1 rows without a usable key in sevilla"), ("rejected", "1 rows without a usable key in no city")}
+
+
+def test_history_stores_changes_only(spark, tmp_path):
+    rows = [listing(id=str(i), host_id=str(i)) for i in range(20)]
+    for day in (15, 16, 17):
+        PublishedWarehouse(str(tmp_path), raw(spark, rows), reviews(spark), RULES).host_history(dt.date(2026, 7, day))
+    assert spark.read.parquet(str(tmp_path / "dim_host_snapshot")).count() == 20
+    moved = [listing(id="0", host_id="0", calculated_host_listings_count="9"), *rows[2:]]
+    history = PublishedWarehouse(str(tmp_path), raw(spark, moved), reviews(spark), RULES).host_history(dt.date(2026, 7, 20))
+    assert spark.read.parquet(str(tmp_path / "dim_host_snapshot")).count() == 20 + 3
+    assert history.filter("is_current").count() == 19 and history.count() == 21
+    assert {(r.host_id, r.is_current) for r in history.filter("host_id < 2").collect()} == {(0, False), (0, True), (1, False)}
+
+
+def test_a_failed_publication_keeps_the_old_table(spark, tmp_path):
+    base = str(tmp_path / "t")
+    tables.publish_version(spark.range(3), base)
+    with pytest.raises(Exception, match="broken"):
+        tables.publish_version(spark.range(5).select(F.raise_error(F.lit("broken")).alias("id")), base)
+    assert tables.latest_version(spark, base).count() == 3
+    for n in (4, 5):
+        tables.publish_version(spark.range(n), base)
+    assert tables.latest_version(spark, base).count() == 5 and len(tables.complete_versions(spark, base)) == 2
+
+
+def test_reloads_check_before_they_write(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "x"), (2, "y"), (3, "a:b")], "id int, city string")
+    tables.append_rows(rows, path, ["city"])
+    with pytest.raises(ValueError, match="no incoming rows"):
+        tables.reload_group(rows.filter("city = 'y'").withColumn("id", F.lit(9)), path, "city", ["y", "x"])
+    assert sorted(r.id for r in tables.read_table(spark, path, rows.schema).collect()) == [1, 2, 3]
+    assert tables.reload_group(rows.limit(0), path, "city", ["a:b"], allow_empty=True) == {"a:b": 0}
+    assert sorted(r.id for r in tables.read_table(spark, path, rows.schema).collect()) == [1, 2]
+
+
 def test_csv_ingest(spark, tmp_path):
     one = write_gz(
         tmp_path / "one.csv.gz",
