@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_ROWS_AT_ONCE = 4000
+
 
 def paired_blocks(rows: DataFrame, key: str, member: str, block_rows: int) -> DataFrame:
     """Rows of groups with two members or more, dealt so that every pair meets in exactly one unit.
@@ -25,3 +31,47 @@ def paired_blocks(rows: DataFrame, key: str, member: str, block_rows: int) -> Da
         .withColumn("hi", F.greatest("block", "_other"))
         .drop("_n", "_other")
     )
+
+
+def map_units(rows: DataFrame, unit: list[str], fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+    """Apply ``fn`` to frames of whole units, which most often hold many small ones.
+
+    ``fn`` gets the rows, sorted by unit, and an array that numbers the units from 0.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts: list[pd.DataFrame] = []
+        for batch in batches:
+            parts.append(batch)
+            if sum(map(len, parts)) < _ROWS_AT_ONCE:
+                continue
+            frame = pd.concat(parts, ignore_index=True) if len(parts) > 1 else batch
+            number = _numbers(frame, unit)
+            cut = int(np.searchsorted(number, number[-1]))  # the last unit may go on in the next batch
+            if cut:
+                yield fn(frame.iloc[:cut].reset_index(drop=True), number[:cut])
+            parts = [frame.iloc[cut:]]
+        frame = pd.concat(parts, ignore_index=True) if parts else None
+        if frame is not None and len(frame):
+            yield fn(frame, _numbers(frame, unit))
+
+    return rows.repartition(*unit).sortWithinPartitions(*unit).mapInPandas(run, schema)
+
+
+def _numbers(frame: pd.DataFrame, unit: list[str]) -> np.ndarray:
+    first = np.zeros(len(frame), bool)
+    for column in unit:
+        values = frame[column].to_numpy()
+        first[1:] |= values[1:] != values[:-1]
+    return np.cumsum(first)
+
+
+def neighbours_at(number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the same unit, as arrays of places: first those one apart, then two, ..."""
+    left = np.arange(len(number))
+    step = 1
+    while len(left := left[left + step < len(number)]):
+        left = left[number[left] == number[left + step]]
+        if len(left):
+            yield left, left + step
+        step += 1

@@ -118,7 +118,7 @@ def byte_bpe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def setsketch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return setsketch.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return setsketch.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"), words=2)
 
 
 def prefix_forest_query(spark: SparkSession, sf_dir: str) -> DataFrame:

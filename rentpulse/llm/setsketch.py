@@ -24,12 +24,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentpulse.llm.blocks import paired_blocks
+from rentpulse.llm.blocks import map_units, neighbours_at, paired_blocks
 from rentpulse.llm.components import components
 from rentpulse.llm.text_hash import mix, prefix_hashes, range_hashes
 from rentpulse.sources.scratch import materialize
 
-SHINGLE_WORDS = 2
+SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS = 32
 BAND_ROWS = 5  # a pair at similarity 0.8 misses all bands with probability 3e-6
@@ -170,31 +170,33 @@ def _across(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
     rows = placed.join(apart, "key").join(nodes.select("id", "n", "regs"), "id")
     least = lowest_estimate(percent)
 
-    def compare(unit: pd.DataFrame) -> pd.DataFrame:
-        ids, own, sizes = unit["id"].to_numpy(), unit["component"].to_numpy(), unit["n"].to_numpy(float)
-        block = unit["block"].to_numpy()
-        same = unit["lo"].iat[0] == unit["hi"].iat[0]
-        regs = np.frombuffer(b"".join(unit["regs"]), np.uint16).reshape(len(unit), REGISTERS)
+    def compare(frame: pd.DataFrame, unit: np.ndarray) -> pd.DataFrame:
+        ids, own, sizes = frame["id"].to_numpy(), frame["component"].to_numpy(), frame["n"].to_numpy(float)
+        block, whole = frame["block"].to_numpy(), (frame["lo"] == frame["hi"]).to_numpy()
+        regs = np.frombuffer(b"".join(frame["regs"]), np.uint16).reshape(len(frame), REGISTERS)
         found = []
-        for i in range(len(ids)):
-            other = own != own[i]
-            other &= np.minimum(sizes, sizes[i]) * 100 >= percent * np.maximum(sizes, sizes[i])
-            if not same:
-                other &= block != block[i]
-            if all_pairs:
-                other &= ids > ids[i]
-            near = np.flatnonzero(other)
-            if not len(near):
-                continue
-            j = estimate((regs[i] > regs[near]).sum(1), (regs[i] < regs[near]).sum(1), np.full(len(near), sizes[i]), sizes[near])
-            if all_pairs:
-                found += [(ids[i], ids[k], e) for k, e in zip(near, j, strict=True) if e >= least]
-            elif j.max() >= least:
-                found.append((ids[i], ids[near[np.argmax(j)]], j.max()))
-        return pd.DataFrame(found, columns=["a", "b", "j"]).astype({"a": "int64", "b": "int64", "j": "float64"})
-
-    units = paired_blocks(rows, "key", "id", BLOCK_ROWS).groupBy("key", "lo", "hi")
-    pairs = units.applyInPandas(compare, "a long, b long, j double")
+        for x, y in neighbours_at(unit):
+            apart = (own[x] != own[y]) & (whole[x] | (block[x] != block[y]))
+            apart &= 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
+            x, y = x[apart], y[apart]
+            above, below = (regs[x] > regs[y]).sum(1), (regs[x] < regs[y]).sum(1)
+            # An estimate is hardly above the share of equal registers.
+            close = REGISTERS - above - below >= (least - 0.05) * REGISTERS
+            x, y = x[close], y[close]
+            if len(x):
+                j = estimate(above[close], below[close], sizes[x], sizes[y])
+                likely = j >= least
+                found.append(pd.DataFrame({"a": ids[x[likely]], "b": ids[y[likely]], "j": j[likely]}))
+        if not found:
+            return pd.DataFrame({"a": [], "b": [], "j": []}).astype({"a": "int64", "b": "int64", "j": "float64"})
+        pairs = pd.concat(found, ignore_index=True)
+        if all_pairs:
+            return pairs
+        both = pd.concat([pairs, pairs.rename(columns={"a": "b", "b": "a"})], ignore_index=True)
+        return both.sort_values(["j", "b"], ascending=[False, True]).drop_duplicates("a")[["a", "b", "j"]]
+
+    units = paired_blocks(rows, "key", "id", BLOCK_ROWS)
+    pairs = map_units(units, ["key", "lo", "hi"], compare, "a long, b long, j double")
     if not all_pairs:
         best = pairs.groupBy("a").agg(F.max(F.struct("j", (-F.col("b")).alias("other"))).alias("best"))
         pairs = best.select("a", (-F.col("best.other")).alias("b"))
@@ -215,9 +217,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> D
     sets = materialize(texts.mapInPandas(run, "id long, elements array<long>"), "sets")
     one = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    enough = 100 * both >= percent * (F.size("x") + F.size("y") - both)
-    return pairs.join(one, "a").join(two, "b").filter(enough).select("a", "b")
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
+    return met.filter(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
