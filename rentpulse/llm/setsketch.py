@@ -128,10 +128,10 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
-    """key, id and n per node and band."""
+    """band, key, id and n per node and band."""
     width = BAND_ROWS * 2
     key = F.expr(f"transform(sequence(0, {BANDS - 1}), i -> xxhash64(i, substring(regs, i * {width} + 1, {width})))")
-    return nodes.select("id", "n", F.explode(key).alias("key"))
+    return nodes.select("id", "n", F.posexplode(key).alias("band", "key"))
 
 
 def _sized(a: str, b: str, percent: int) -> str:
@@ -164,8 +164,12 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Likely pairs (a, b) of a band whose nodes are in different components: each node's best, or all."""
-    placed = bands.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    """Likely pairs (a, b) of a band whose nodes are in different components: each node's best, or all.
+
+    A node's best is taken from components with a smaller label than its own: if those links hold, a group
+    of any size hangs together after one round. A pair counts in the first band it shares.
+    """
+    placed = bands.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
     apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key")
     rows = placed.join(apart, "key").join(nodes.select("id", "n", "regs"), "id")
     least = lowest_estimate(percent)
@@ -173,6 +177,7 @@ def _across(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
     def compare(frame: pd.DataFrame, unit: np.ndarray) -> pd.DataFrame:
         ids, own, sizes = frame["id"].to_numpy(), frame["component"].to_numpy(), frame["n"].to_numpy(float)
         block, whole = frame["block"].to_numpy(), (frame["lo"] == frame["hi"]).to_numpy()
+        band = frame["band"].to_numpy()
         regs = np.frombuffer(b"".join(frame["regs"]), np.uint16).reshape(len(frame), REGISTERS)
         found = []
         for x, y in neighbours_at(unit):
@@ -182,25 +187,28 @@ def _across(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int,
             above, below = (regs[x] > regs[y]).sum(1), (regs[x] < regs[y]).sum(1)
             # An estimate is hardly above the share of equal registers.
             close = REGISTERS - above - below >= (least - 0.05) * REGISTERS
-            x, y = x[close], y[close]
+            x, y, above, below = x[close], y[close], above[close], below[close]
+            shared = (regs[x] == regs[y]).reshape(-1, BANDS, BAND_ROWS).all(axis=2)
+            first = shared.argmax(axis=1) == band[x]
+            x, y = x[first], y[first]
             if len(x):
-                j = estimate(above[close], below[close], sizes[x], sizes[y])
+                j = estimate(above[first], below[first], sizes[x], sizes[y])
                 likely = j >= least
-                found.append(pd.DataFrame({"a": ids[x[likely]], "b": ids[y[likely]], "j": j[likely]}))
+                x, y = np.where(own[x] > own[y], x, y)[likely], np.where(own[x] > own[y], y, x)[likely]
+                found.append(pd.DataFrame({"a": ids[x], "b": ids[y], "j": j[likely]}))
         if not found:
             return pd.DataFrame({"a": [], "b": [], "j": []}).astype({"a": "int64", "b": "int64", "j": "float64"})
         pairs = pd.concat(found, ignore_index=True)
         if all_pairs:
             return pairs
-        both = pd.concat([pairs, pairs.rename(columns={"a": "b", "b": "a"})], ignore_index=True)
-        return both.sort_values(["j", "b"], ascending=[False, True]).drop_duplicates("a")[["a", "b", "j"]]
+        return pairs.sort_values(["j", "b"], ascending=[False, True]).drop_duplicates("a")
 
     units = paired_blocks(rows, "key", "id", BLOCK_ROWS)
     pairs = map_units(units, ["key", "lo", "hi"], compare, "a long, b long, j double")
     if not all_pairs:
         best = pairs.groupBy("a").agg(F.max(F.struct("j", (-F.col("b")).alias("other"))).alias("best"))
         pairs = best.select("a", (-F.col("best.other")).alias("b"))
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return pairs.select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
