@@ -5,13 +5,12 @@ whether there are more), and the class emits the word by its training count. The
 a fixed size, whatever the corpus: Baum-Welch passes over all training documents sum expected counts
 inside each task, tasks are summed in two levels, and the driver receives a few arrays. Word counts
 never reach the driver: documents are dealt into chunks, and each chunk is joined with the counts of
-the words it has. The scaled forward recursion gives the exact likelihood of the whole text.
+the words it has, by a 64-bit hash. The scaled forward recursion gives the exact likelihood of the whole text.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -21,14 +20,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentpulse.llm.common import whole_text
-from rentpulse.llm.text_hash import mix
+from rentpulse.llm.text_hash import mix, prefix_hashes, range_hashes
 from rentpulse.sources.scratch import materialize
 
 STATES = 8
 CLASSES = 4096  # class 0 is the end of a text
 PASSES = 3
-CHUNK_BYTES = 12 << 20  # of text that shares one lookup of word counts
-BATCH_TOKENS = 400_000  # whose state probabilities are held at once
+CHUNK_BYTES = 16 << 20  # of text that shares one lookup of word counts
+TEXT_AT_ONCE = 6 << 20  # characters scored together
+CUT_AT_ONCE = 512 << 10  # bytes cut into words together
+BATCH_TOKENS = 800_000  # whose state probabilities are held at once
 STICKY = 0.9
 SMOOTHING = 0.05
 SEED = 97
@@ -42,14 +43,30 @@ class Model(NamedTuple):
     emit: np.ndarray  # classes x states
 
 
-def lowered(text: str | None) -> bytes:
-    """UTF-8 bytes with A-Z as a-z; empty for NULL."""
-    return (text or "").encode("utf-8", "replace").lower()
+class Tokens(NamedTuple):
+    """The words of some texts, each followed by its end."""
 
+    classes: np.ndarray  # of all tokens, text after text; 0 for an end
+    start: np.ndarray  # of each text among the tokens
+    length: np.ndarray  # in tokens
+    words: np.ndarray  # 64-bit hashes of the words, ends left out
+    owner: np.ndarray  # the text of each word
 
-def word_classes(raw: bytes) -> np.ndarray:
-    """Class of every word of lower-cased bytes, and the end's."""
-    data = np.frombuffer(raw, np.uint8)
+
+def tokenise(texts: list[str | None], hashed: bool = True) -> Tokens:
+    """Words are lower-cased in A-Z; NULL is empty. Without ``hashed``, words are not hashed."""
+    raw = [(text or "").encode("utf-8", "replace").lower() for text in texts]  # of bytes: A-Z alone
+    group = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw))) // CUT_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(raw)]
+    parts = [_cut(raw[a:b], a, hashed) for a, b in zip(cuts, cuts[1:], strict=False)]
+    classes, length, words, owner = (np.concatenate(column) for column in zip(*parts, strict=True))
+    return Tokens(classes, np.cumsum(length) - length, length, words, owner)
+
+
+def _cut(raw: list[bytes], first: int, hashed: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, lengths, word hashes and word owners of a few texts, the first of them numbered ``first``."""
+    data = np.frombuffer(b" ".join(raw), np.uint8)
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~_WHITE[data]
     edge = np.flatnonzero(np.diff(inside))
@@ -59,26 +76,36 @@ def word_classes(raw: bytes) -> np.ndarray:
     for k in range(1, 4):
         byte = data[np.maximum(end - k, start)].astype(np.uint64)
         code = code << np.uint64(8) | np.where(length >= k, byte, np.uint64(0))
-    return np.append((mix(code) % np.uint64(CLASSES - 1)).astype(np.int64) + 1, 0)
+    stop = np.searchsorted(start, np.cumsum(size + 1))
+    words = np.diff(stop, prepend=0)
+    owner = np.repeat(np.arange(len(raw)), words)
+    classes = np.zeros(len(start) + len(raw), np.int64)
+    classes[np.arange(len(start)) + owner] = (mix(code) % np.uint64(CLASSES - 1)).astype(np.int64) + 1
+    hashes = range_hashes(prefix_hashes(data), start, end).view(np.int64) if hashed else np.empty(0, np.int64)
+    return classes, words + 1, hashes, owner + first
+
+
+def portions(frame: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of a frame, some TEXT_AT_ONCE characters at a time."""
+    place = np.cumsum(frame["text"].str.len().to_numpy()) // TEXT_AT_ONCE
+    for _, part in frame.groupby(place, sort=True):
+        yield part
 
 
 class Batch:
-    """Class sequences, longest first, stepped through side by side."""
+    """Texts of some tokens, longest first, stepped through side by side."""
 
-    def __init__(self, sequences: list[np.ndarray]):
-        length = np.array([len(s) for s in sequences])
-        self.order = np.argsort(-length, kind="stable")
-        length = length[self.order]
-        self.flat = np.concatenate([sequences[i] for i in self.order])
-        self.start = np.cumsum(length) - length
-        # how many sequences have a t-th symbol
-        self.active = len(length) - np.searchsorted(length[::-1], np.arange(length[0]), side="right")
+    def __init__(self, tokens: Tokens, places: np.ndarray):
+        self.flat, self.start = tokens.classes, tokens.start[places]
+        self.length = tokens.length[places]
+        # how many texts have a t-th token
+        self.active = len(places) - np.searchsorted(self.length[::-1], np.arange(self.length[0]), side="right")
 
     def symbols(self, t: int) -> np.ndarray:
         return self.flat[self.start[: self.active[t]] + t]
 
     def forward(self, model: Model, keep: bool) -> tuple[np.ndarray, list, list]:
-        """log10 likelihoods in the given order; with ``keep``, scaled state probabilities and scales."""
+        """log10 likelihoods; with ``keep``, also scaled state probabilities and scales."""
         total = np.zeros(len(self.start))
         alphas, scales = [], []
         alpha = None
@@ -90,15 +117,14 @@ class Batch:
             if keep:
                 alphas.append(alpha)
                 scales.append(scale)
-        out = np.empty_like(total)
-        out[self.order] = total
-        return out, alphas, scales
+        return total, alphas, scales
 
     def expected(self, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected counts of start states, steps and emissions."""
         _, alphas, scales = self.forward(model, keep=True)
         states = len(model.start)
-        gamma = np.empty((len(self.flat), states))
+        own = np.cumsum(self.length) - self.length  # where a text starts among the batch's tokens
+        gamma = np.empty((self.length.sum(), states))
         step = np.zeros((states, states))
         beta, ahead = None, None
         for t in range(len(self.active) - 1, -1, -1):
@@ -109,30 +135,25 @@ class Batch:
                 here[: len(ahead)] = ahead @ model.step.T
                 step += alphas[t][: len(ahead)].T @ ahead
             beta = here
-            gamma[self.start[:n] + t] = alphas[t] * beta
-        emit = np.stack([np.bincount(self.flat, gamma[:, k], CLASSES) for k in range(states)], axis=1)
-        return gamma[self.start].sum(axis=0), step * model.step, emit
-
-
-def batches(sequences: list[np.ndarray]) -> Iterator[tuple[Batch, list[int]]]:
-    """Batches of sequences of similar length, with their places in the list."""
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    part: list[int] = []
-    tokens = 0
-    for i in order:
-        if part and tokens + len(sequences[i]) > BATCH_TOKENS:
-            yield Batch([sequences[k] for k in part]), part
-            part, tokens = [], 0
-        part.append(i)
-        tokens += len(sequences[i])
-    if part:
-        yield Batch([sequences[k] for k in part]), part
-
-
-def log_likelihoods(model: Model, sequences: list[np.ndarray]) -> np.ndarray:
-    """log10 probabilities of class sequences."""
-    out = np.zeros(len(sequences))
-    for batch, places in batches(sequences):
+            gamma[own[:n] + t] = alphas[t] * beta
+        classes = self.flat[np.repeat(self.start - own, self.length) + np.arange(len(gamma))]
+        emit = np.stack([np.bincount(classes, gamma[:, k], CLASSES) for k in range(states)], axis=1)
+        return gamma[own].sum(axis=0), step * model.step, emit
+
+
+def batches(tokens: Tokens) -> Iterator[tuple[Batch, np.ndarray]]:
+    """Batches of texts of similar length, with their places."""
+    order = np.argsort(-tokens.length, kind="stable")
+    group = np.cumsum(tokens.length[order]) // BATCH_TOKENS
+    for places in np.split(order, np.flatnonzero(np.diff(group)) + 1):
+        if len(places):
+            yield Batch(tokens, places), places
+
+
+def log_likelihoods(model: Model, tokens: Tokens) -> np.ndarray:
+    """log10 probabilities of the texts' classes."""
+    out = np.zeros(len(tokens.start))
+    for batch, places in batches(tokens):
         out[places] = batch.forward(model, keep=False)[0]
     return out
 
@@ -166,8 +187,7 @@ def _next_model(texts: DataFrame, model: Model) -> Model:
     def count(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(cuts[-1])
         for frame in rows:
-            sequences = [word_classes(lowered(text)) for text in frame["text"]]
-            for batch, _ in batches(sequences):
+            for batch, _ in batches(tokenise(frame["text"].tolist(), hashed=False)):
                 total += np.concatenate([part.ravel() for part in batch.expected(model)])
         yield pd.DataFrame({"counts": [total.tobytes()]})
 
@@ -200,27 +220,23 @@ def score(docs: DataFrame, passes: int = PASSES) -> DataFrame:
     dealt = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
 
     def words_of(frame: pd.DataFrame) -> pd.DataFrame:
-        seen: Counter = Counter()
-        for text in frame["text"][~frame["held_out"]]:
-            seen.update(lowered(text).split())
-        for text in frame["text"][frame["held_out"]]:
-            seen.update(dict.fromkeys(lowered(text).split(), 0))
-        return pd.DataFrame({"chunk": frame["chunk"].iat[0], "word": list(seen), "n": list(seen.values())})
-
-    local = materialize(dealt.groupBy("chunk").applyInPandas(words_of, "chunk int, word binary, n long"), "chunk_words")
-    counts = local.groupBy("word").agg(F.sum("n").alias("c")).filter("c > 0")
+        words, kinds, trained = [], [], []
+        for part in portions(frame):
+            tokens = tokenise(part["text"].tolist())
+            word, first, place = np.unique(tokens.words, return_index=True, return_inverse=True)
+            words.append(word)
+            classes = np.delete(tokens.classes, tokens.start + tokens.length - 1)  # without the ends
+            kinds.append(classes[first])
+            trained.append(np.bincount(place, ~part["held_out"].to_numpy(bool)[tokens.owner], len(word)))
+        word, first, place = np.unique(np.concatenate(words), return_index=True, return_inverse=True)
+        n = np.bincount(place, np.concatenate(trained), len(word)).astype(np.int64)
+        return pd.DataFrame({"chunk": frame["chunk"].iat[0], "word": word, "class": np.concatenate(kinds)[first], "n": n})
+
+    kind = "chunk int, word long, class int, n long"
+    local = materialize(dealt.groupBy("chunk").applyInPandas(words_of, kind), "chunk_words")
+    counts = local.groupBy("word").agg(F.sum("n").alias("c"), F.first("class").alias("class")).filter("c > 0")
     counts = materialize(counts, "word_counts")
-
-    def by_class(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-        for frame in rows:
-            found = word_classes(b" ".join(frame["word"]))[:-1]
-            tokens += np.bincount(found, frame["c"], CLASSES)
-            kinds += np.bincount(found, minlength=CLASSES)
-        yield pd.DataFrame({"class": np.arange(CLASSES), "tokens": tokens, "kinds": kinds})
-
-    per_class = counts.mapInPandas(by_class, "class int, tokens double, kinds double")
-    per_class = per_class.groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("kinds").alias("kinds"))
+    per_class = counts.groupBy("class").agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("kinds"))
     tokens, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for row in per_class.collect():  # one row per class
         tokens[row["class"]], kinds[row["class"]] = row["tokens"], row["kinds"]
@@ -233,26 +249,31 @@ def score(docs: DataFrame, passes: int = PASSES) -> DataFrame:
     log_end = math.log10(ends + 1)
 
     def judge(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        place = dict(zip(known["word"], range(len(known)), strict=True))
-        count = known["c"].to_numpy(float)
-        log_count = np.log10(count + 1)
-        sequences, rows = [], []
-        for text in frame["text"]:
-            raw = lowered(text)
-            at = np.fromiter((place.get(word, -1) for word in raw.split()), np.int64)
-            classes = word_classes(raw)
-            found = at[at >= 0]
-            words = float(log_count[found].sum())
-            base = words + log_end - log_all * len(classes)
-            in_class = words - float(log_class[classes[:-1]].sum())
-            rows.append((len(classes), len(found) + int(ends > 0), base, in_class))
-            sequences.append(classes)
-        out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score"])
-        out["score"] += log_likelihoods(model, sequences)
-        out.insert(0, "doc_id", frame["doc_id"].array)
-        out.insert(1, "held_out", frame["held_out"].array)
-        out.insert(4, "train_tokens", n_train)
-        return out
+        known = known.sort_values("word")
+        vocabulary = np.append(known["word"].to_numpy(np.int64), np.iinfo(np.int64).max)
+        log_count = np.append(np.log10(known["c"].to_numpy(float) + 1), 0.0)
+        found = []
+        for part in portions(frame):
+            tokens = tokenise(part["text"].tolist())
+            texts = len(part)
+            at = np.searchsorted(vocabulary[:-1], tokens.words)
+            seen = vocabulary[at] == tokens.words
+            words = np.bincount(tokens.owner, np.where(seen, log_count[at], 0.0), texts)
+            classes = np.add.reduceat(np.where(tokens.classes > 0, log_class[tokens.classes], 0.0), tokens.start)
+            found.append(
+                pd.DataFrame(
+                    {
+                        "doc_id": part["doc_id"].array,
+                        "held_out": part["held_out"].array,
+                        "n_tokens": tokens.length,
+                        "n_known": np.bincount(tokens.owner[seen], minlength=texts) + int(ends > 0),
+                        "train_tokens": n_train,
+                        "base_score": words + log_end - log_all * tokens.length,
+                        "score": words - classes + log_likelihoods(model, tokens),
+                    }
+                )
+            )
+        return pd.concat(found, ignore_index=True)
 
     needed = local.select("chunk", "word").join(counts, "word")
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"

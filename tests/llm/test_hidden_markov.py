@@ -32,10 +32,15 @@ def paths(model, symbols):
 SEQUENCES = [np.array(s) for s in ([4, 9, 4, 0], [0], [7, 7, 0], [1, 2, 3, 4, 5, 0])]
 
 
+def as_tokens(sequences):
+    length = np.array([len(s) for s in sequences])
+    return hm.Tokens(np.concatenate(sequences), np.cumsum(length) - length, length, None, None)
+
+
 def test_likelihood_is_the_sum_over_all_paths():
     model = small_model()
     expected = [math.log10(sum(p for p, _ in paths(model, s))) for s in SEQUENCES]
-    assert hm.log_likelihoods(model, SEQUENCES) == pytest.approx(expected)
+    assert hm.log_likelihoods(model, as_tokens(SEQUENCES)) == pytest.approx(expected)
 
 
 def test_expected_counts_are_those_over_all_paths(monkeypatch):
@@ -51,11 +56,20 @@ def test_expected_counts_are_those_over_all_paths(monkeypatch):
             for c, k in zip(s, path, strict=True):
                 emit[c, k] += p / total
     monkeypatch.setattr(hm, "BATCH_TOKENS", 8)
-    got = [sum(parts) for parts in zip(*(b.expected(model) for b, _ in hm.batches(SEQUENCES)), strict=True)]
+    got = [sum(parts) for parts in zip(*(b.expected(model) for b, _ in hm.batches(as_tokens(SEQUENCES))), strict=True)]
     for a, b in zip(got, (start, step, emit), strict=True):
         assert np.allclose(a, b)
 
 
+def test_tokens():
+    tokens = hm.tokenise(["The cat", None, "", " a\n The", "CAT ", "xthe"])
+    assert tokens.length.tolist() == [3, 1, 1, 3, 2, 2] and tokens.owner.tolist() == [0, 0, 3, 3, 4, 5]
+    assert [tokens.classes[a : a + n][-1] for a, n in zip(tokens.start, tokens.length, strict=True)] == [0] * 6
+    the, cat, a, the_too, cat_too, longer = tokens.words.tolist()
+    assert the == the_too and cat == cat_too and len({the, cat, a, longer}) == 4
+    assert tokens.classes[0] == tokens.classes[6] != tokens.classes[10]
+
+
 @pytest.fixture(scope="module")
 def scored(spark, sf_dir):
     return {r.doc_id: r for r in queries.all_queries()["op10_hidden_markov"](spark, sf_dir).collect()}
@@ -85,9 +99,9 @@ def test_states_improve_on_the_unigram(scored):
 
 
 def test_training_passes_raise_the_likelihood(documents, texts):
-    classes = np.bincount(np.concatenate([hm.word_classes(hm.lowered(t)) for t in texts.values()]), minlength=hm.CLASSES)
-    sequences = [hm.word_classes(hm.lowered(t)) for t in list(texts.values())[:80]]
-    found = [hm.log_likelihoods(hm.train(documents, classes.astype(float), n), sequences).sum() for n in (0, 1, 3)]
+    classes = np.bincount(hm.tokenise(list(texts.values())).classes, minlength=hm.CLASSES)
+    some = hm.tokenise(list(texts.values())[:80])
+    found = [hm.log_likelihoods(hm.train(documents, classes.astype(float), n), some).sum() for n in (0, 1, 3)]
     assert found == sorted(found)
 
 
