@@ -26,10 +26,10 @@ from rentpulse.sources.scratch import materialize
 STATES = 8
 CLASSES = 4096  # class 0 is the end of a text
 PASSES = 3
-CHUNK_BYTES = 16 << 20  # of text that shares one lookup of word counts
-TEXT_AT_ONCE = 6 << 20  # characters scored together
+CHUNK_BYTES = 12 << 20  # of text that shares one lookup of word counts
+TEXT_AT_ONCE = 2 << 20  # characters scored together
 CUT_AT_ONCE = 512 << 10  # bytes cut into words together
-BATCH_TOKENS = 800_000  # whose state probabilities are held at once
+BATCH_TOKENS = 400_000  # whose state probabilities are held at once
 STICKY = 0.9
 SMOOTHING = 0.05
 SEED = 97
