@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -26,6 +27,12 @@ SEED = 20011
 MAX_LANGUAGES = 2000
 # N-gram vectors kept by one Python worker (1 KB each).
 CACHED_GRAMS = 30_000
+# Of the texts in no learned language, the share that may pass the bar by chance.
+CHANCE = 0.001
+# Distinct n-grams below which a text's own language may leave it under the bar.
+FEW_GRAMS = 64
+# A letter belongs to a language if it is at least this share of its letters.
+LETTER_SHARE = 1e-4
 
 _BITS = 21  # of a code point
 
@@ -36,12 +43,17 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
+def _codes(text: str) -> np.ndarray:
+    """Code points of the lower-cased text."""
+    return np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+
+
 def grams(text: str, n: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of the lower-cased text and their counts.
 
     Runs of anything but letters are one blank, and a blank stands at either end. No n-gram without a letter.
     """
-    codes = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+    codes = _codes(text)
     letter = _letters()[codes]
     if not letter.any():
         return np.empty(0, np.int64), np.empty(0, np.int64)
@@ -166,3 +178,56 @@ def judge(prototypes: dict[str, np.ndarray]) -> Callable[[Column], Column]:
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
 
     return best
+
+
+def bar(languages: int, dimensions: int = DIMENSIONS) -> float:
+    """The cosine that a share of CHANCE of unrelated texts exceeds with the best of the languages.
+
+    An unrelated text's cosine with one prototype spreads like a normal variable of deviation 1 / sqrt(dimensions).
+    """
+    return NormalDist().inv_cdf(1 - CHANCE / max(languages, 1)) / dimensions**0.5
+
+
+def alphabet(labelled: DataFrame) -> np.ndarray:
+    """Code points of the letters that some language uses, from rows (text, lang), sorted."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, texts in batch.groupby("lang")["text"]:
+                codes = np.concatenate([_codes(text) for text in texts])
+                found, n = np.unique(codes[_letters()[codes]], return_counts=True)
+                yield pd.DataFrame({"lang": lang, "code": found, "n": n})
+
+    rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
+    counts = rows.mapInPandas(partial, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    used = counts.join(F.broadcast(totals), "lang").filter(F.col("n") >= LETTER_SHARE * F.col("total"))
+    return np.array(sorted(r["code"] for r in used.select("code").distinct().collect()), np.int64)
+
+
+def speaks(prototypes: dict[str, np.ndarray], letters: np.ndarray) -> Callable[[Column], Column]:
+    """Column function: whether a text is in a learned language.
+
+    Its cosine reaches the bar, or it has too few n-grams for that and most of its letters are among
+    ``letters``: a word or two tell the script, but not the language. False for text without a letter.
+    """
+    matrix = np.array([prototypes[lang] for lang in sorted(prototypes)]).reshape(-1, DIMENSIONS)
+    least = bar(len(matrix))
+
+    def known(text: str | None) -> bool:
+        codes, counts = grams(text) if text and len(matrix) else ((), ())
+        if not len(codes):
+            return False
+        if (matrix @ unit(_vectors().bundle(codes, counts))).max() >= least:
+            return True
+        if len(codes) >= FEW_GRAMS:
+            return False
+        own = _codes(text)
+        return np.isin(own[_letters()[own]], letters).mean() > 0.5
+
+    @F.pandas_udf("boolean")
+    def judged(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield batch.map(known).astype(bool)
+
+    return judged

@@ -2,6 +2,7 @@
 
 import os
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -52,6 +53,23 @@ def test_stages_survive_awkward_rows(spark, awkward, nothing, sf_dir):
         assert pipeline.STAGES[4][1](spark, docs, sf_dir).count() == len(ids)
 
 
+def test_unlearned_scripts_go_and_real_documents_stay(spark, documents, sf_dir):
+    """Made-up texts, long and short, in scripts without a training document, and words of random letters."""
+    rng = np.random.default_rng(5)
+    scripts = {"cyrillic": (0x430, 0x450), "greek": (0x3B1, 0x3CA), "hiragana": (0x3041, 0x3097), "cjk": (0x4E00, 0x9FFF), "random": (97, 123)}
+    made = {}
+    for name, (low, high) in scripts.items():
+        for words in (200,) * 40 + (2,) * (0 if name == "random" else 40):
+            text = " ".join("".join(map(chr, rng.integers(low, high, rng.integers(3, 9)))) for _ in range(words))
+            made[10**9 + len(made)] = (name, text)
+    rows = [(i, text, None, "a", len(text)) for i, (_, text) in made.items()]
+    docs = documents.unionByName(spark.createDataFrame(rows, documents.schema))
+    left = {r.doc_id for r in pipeline.identify_language(spark, docs, sf_dir).collect()}
+    assert {r.doc_id for r in documents.collect() if any(c.isalpha() for c in r.text)} <= left
+    stayed = [made[i][0] for i in left if i in made]
+    assert all(stayed.count(name) <= 3 for name in scripts)
+
+
 @pytest.mark.parametrize("name", ["op2_url_lists", "op3_source_mix", "op5_quote_links"])
 def test_query_matches_sql(spark, sf_dir, name):
     db = duckdb.connect()
