@@ -1,8 +1,9 @@
 """Near-duplicate embeddings by spherical-cap filters.
 
 A filter is a direction, and a vector belongs to all filters whose inner product with it reaches the
-vector's bar: its own LISTS-th largest (a common bar leaves some vectors without a filter, and a third
-of the pairs at cosine 0.9 unmet). Directions are the words of random product codes: after a random
+vector's bar: its own so many-th largest (a common bar leaves some vectors without a filter, and a third
+of the pairs at cosine 0.9 unmet), and that number grows with the number of filters, so that the chance
+of meeting does not fall as the table grows. Directions are the words of random product codes: after a random
 rotation the coordinates fall into PARTS sub-blocks, and every choice of one short code word per
 sub-block is a direction. So the filters of a vector are list-decoded sub-block by sub-block from the
 best words of each, without ever looking at all directions. Vectors of a pair meet in the filters they
@@ -27,9 +28,14 @@ from rentpulse.sources.scratch import materialize
 
 PARTS = 3
 CODES = 2
-# Filters of a vector in each code: about one random pair in ten thousand with a cosine of just 0.9
-# shares none at 50,000 vectors, and none was seen to at 0.95.
+# Filters of a vector in each code of up to LISTS_WORDS words: about one random pair in ten thousand
+# with a cosine of just 0.9 shares none, and none was seen to at 0.95. More words cut the sphere finer,
+# and coarser the fewer coordinates it has: to keep that chance the filters of a vector grow with this
+# power of the words, measured up to a billion vectors of 16 to 256 coordinates.
 LISTS = 16
+LISTS_WORDS = 15
+LISTS_POWER = 2 / 3  # at LISTS_WIDTH coordinates and more, higher below
+LISTS_WIDTH = 64
 # Rows per filter direction that a code is sized for.
 ROWS_PER_FILTER = 16
 WORDS = (12, 800)  # fewest and most code words of a sub-block
@@ -77,6 +83,12 @@ def words_for(count: int) -> int:
     return int(min(max(math.ceil((count / ROWS_PER_FILTER) ** (1 / PARTS)), WORDS[0]), WORDS[1]))
 
 
+def lists_for(words: int, width: int) -> int:
+    """Filters of a vector in each code, so that a pair meets as surely among many filters as among few."""
+    power = LISTS_POWER * max(1.0, LISTS_WIDTH / width) ** 0.5
+    return math.ceil(LISTS * max(1.0, words / LISTS_WORDS) ** power)
+
+
 def unit_links(rows: np.ndarray, ids: np.ndarray, lists: list[np.ndarray], here: int, across: np.ndarray | None, least: float):
     """(row, links, smallest id of its group) for the rows that have links to be counted in this filter.
 
@@ -125,10 +137,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
             for width, part in frame.groupby("width"):
                 words = words_for(int(part["count"].iat[0]))
                 codes = [ProductCode(width, words, number) for number in range(CODES)]
-                for at in range(0, len(part), 1000):
-                    some = part.iloc[at : at + 1000]
+                most = lists_for(words, width)
+                step = max(1, 1000 * LISTS // most)
+                for at in range(0, len(part), step):
+                    some = part.iloc[at : at + step]
                     rows = directions(matrix(some["v"]))
-                    found = [code.decode(rows) * CODES + number for number, code in enumerate(codes)]
+                    found = [code.decode(rows, most) * CODES + number for number, code in enumerate(codes)]
                     lists = list(np.sort(np.concatenate(found, axis=1), axis=1).astype(np.int32))
                     yield pd.DataFrame({"width": width, "vec_id": some["vec_id"].array, "v": some["v"].array, "lists": lists})
 

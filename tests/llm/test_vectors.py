@@ -107,6 +107,23 @@ def test_decoded_filters_are_the_best():
     assert np.array_equal(np.sort(code.decode(rows, 16)), np.sort(np.argsort(-total, axis=1)[:, :16]))
 
 
+@pytest.mark.parametrize("count", [50_000, 10_000_000, 1_000_000_000])
+def test_pairs_meet_as_surely_in_a_large_table(count):
+    """Pairs at a cosine of 0.9, coded as in a table of so many rows."""
+    rng = np.random.default_rng(10)
+    words = cap_filters.words_for(count)
+    left, right = rng.standard_normal((2, 600, 64))
+    left = left / np.linalg.norm(left, axis=1, keepdims=True)
+    right -= (right * left).sum(axis=1, keepdims=True) * left
+    right = 0.9 * left + np.sqrt(1 - 0.9**2) * right / np.linalg.norm(right, axis=1, keepdims=True)
+    met = np.zeros(len(left), bool)
+    for number in range(cap_filters.CODES):
+        code = cap_filters.ProductCode(64, words, number)
+        a, b = (code.decode(rows, cap_filters.lists_for(words, 64)) for rows in (left, right))
+        met |= [bool(np.intersect1d(x, y).size) for x, y in zip(a, b, strict=True)]
+    assert (~met).sum() <= 1
+
+
 def test_awkward_links(awkward_vectors):
     rows = cap_filters.near_duplicates(awkward_vectors).collect()
     got = {r.vec_id: r for r in rows}
