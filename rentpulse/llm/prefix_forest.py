@@ -3,8 +3,8 @@
 Every tree gives a vector a long string of bits, the sides of as many random hyperplanes it lies on,
 and keeps the strings in a sorted array: the rows below any prefix are a contiguous run. A query
 descends each tree to its longest matching prefix; then all trees ascend together, one bit at a time,
-until their runs hold as many candidates as asked for. The candidates are ranked by the exact inner
-product.
+until their runs hold as many different candidates as asked for. The candidates are ranked by the exact
+inner product.
 
 Rows are dealt into blocks with a forest each, so memory is bounded and every row is indexed; a block
 answers the queries in bounded groups, and a query's answers from all blocks are merged.
@@ -29,6 +29,10 @@ BITS = 16
 # several times): a share of the block, and so many for each neighbour asked for.
 REACH = 0.5
 SPARE = 20
+# As different rows (copies are in the runs of all trees at once) they must hold this share of the block,
+# and so many for each neighbour.
+DIFFERENT = 0.35
+SPARE_DIFFERENT = 5
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 2_048
 SEED = 61
@@ -76,16 +80,31 @@ class Forest:
         return np.flatnonzero(found)
 
 
+def block_candidates(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, reach: float) -> list[np.ndarray]:
+    """Places of the rows that each query is compared with: of at least k ids besides its own, if there are."""
+    forest, wanted = Forest(rows), math.ceil(reach * len(rows)) + SPARE * k
+    out: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
+    rising, most = np.arange(len(queries)), len(np.unique(ids))
+    enough = math.ceil(min(reach, DIFFERENT) * len(rows)) + SPARE_DIFFERENT * k
+    while len(rising):
+        low, high = forest.runs(queries[rising], wanted)
+        short = np.zeros(len(rising), bool)
+        for place, q in enumerate(rising):
+            near = forest.candidates(low[place], high[place])
+            out[q] = near[ids[near] != own[q]]
+            different = len(np.unique(ids[out[q]]))
+            short[place] = different < min(most - 1, enough)
+        rising, wanted = rising[short], 2 * wanted
+    return out
+
+
 def block_neighbours(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, reach: float) -> list[tuple]:
     """(query's place, id, score) of the up to k best candidates of each query; ties to the smaller id."""
     order = np.argsort(ids, kind="stable")
     rows, ids = rows[order], ids[order]
-    forest = Forest(rows)
-    low, high = forest.runs(queries, math.ceil(reach * len(rows)) + SPARE * k)
+    candidates = block_candidates(rows, ids, queries, own, k, reach)
     out = []
-    for q, query in enumerate(queries):
-        near = forest.candidates(low[q], high[q])
-        near = near[ids[near] != own[q]]
+    for q, (query, near) in enumerate(zip(queries, candidates, strict=True)):
         rough = rows[near] @ query
         if len(near) > k:
             bar = np.partition(rough, len(near) - k)[len(near) - k]

@@ -61,6 +61,31 @@ def test_blocks_change_no_answer_when_all_rows_are_candidates(spark, sf_dir, mon
     assert [(*key(r), r.vec_id) for r in sorted(cut, key=key)] == [(*key(r), r.vec_id) for r in sorted(whole, key=key)]
 
 
+def forest_recall(rows, asked, k=20):
+    """Share of each asked row's k best inner products that one block finds, and the fewest answers of a query."""
+    ids = np.arange(len(rows))
+    got = prefix_forest.block_neighbours(rows, ids, rows[asked], asked, k, prefix_forest.REACH)
+    hits, answers = 0, []
+    for place, q in enumerate(asked):
+        exact = rows @ rows[q]
+        exact[q] = -np.inf
+        scores = [score for at, _, score in got if at == place]
+        hits += sum(score >= np.sort(exact)[-k] - 1e-9 for score in scores)
+        answers.append(len(scores))
+    return hits / (k * len(asked)), min(answers)
+
+
+@pytest.mark.parametrize(("count", "copies"), [(500, 9), (500, 20), (2000, 5), (2000, 14)])
+def test_copies_leave_room_for_other_neighbours(count, copies):
+    rows = np.random.default_rng(11).standard_normal((count, 64))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    asked = np.arange(12) * copies
+    for first in asked:
+        rows[first : first + copies] = rows[first]
+    recall, answers = forest_recall(rows, asked)
+    assert recall >= 0.9 and answers == 20
+
+
 def test_awkward_searches(awkward_vectors):
     got = prefix_forest.nearest(awkward_vectors, F.lit(True), 3).collect()
     ids = {r.query_id for r in got}
