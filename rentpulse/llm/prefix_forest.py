@@ -4,7 +4,10 @@ Every tree gives a vector a long string of bits, the sides of as many random hyp
 and keeps the strings in a sorted array: the rows below any prefix are a contiguous run. A query
 descends each tree to its longest matching prefix; then all trees ascend together, one bit at a time,
 until their runs hold as many different candidates as asked for. The candidates are ranked by the exact
-inner product.
+inner product. Sides of hyperplanes tell angles, so rows are hashed with a further coordinate that gives
+all of them the same length, and queries with 0 there: then a smaller angle is a larger inner product.
+Were lengths very different, that coordinate would outweigh the others, so rows of similar length have a
+forest each.
 
 Rows are dealt into blocks with a forest each, so memory is bounded and every row is indexed; a block
 answers the queries in bounded groups, and a query's answers from all blocks are merged.
@@ -33,6 +36,9 @@ SPARE = 20
 # and so many for each neighbour.
 DIFFERENT = 0.35
 SPARE_DIFFERENT = 5
+# Rows of a forest differ in length by this factor at most; the last of the BANDS has all shorter ones.
+BAND = 1.15
+BANDS = 40
 BLOCK_ROWS = 16_384
 QUERY_ROWS = 2_048
 SEED = 61
@@ -80,8 +86,25 @@ class Forest:
         return np.flatnonzero(found)
 
 
-def block_candidates(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, reach: float) -> list[np.ndarray]:
+def lifted(rows: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and queries with a further coordinate, so that rows order by angle as by inner product."""
+    rows = rows / np.abs(rows).max()
+    queries = queries / np.abs(queries).max(axis=1, keepdims=True)
+    square = (rows * rows).sum(axis=1)
+    return np.column_stack([rows, np.sqrt(square.max() - square)]), np.column_stack([queries, np.zeros(len(queries))])
+
+
+def bands(rows: np.ndarray) -> list[np.ndarray]:
+    """Places of the rows of similar length, the longest rows first."""
+    length = np.linalg.norm(rows / np.abs(rows).max(), axis=1)
+    length = np.maximum(length / length.max(), np.finfo(float).tiny)
+    number = np.minimum(np.floor(-np.log(length) / math.log(BAND) + 1e-6), BANDS - 1)
+    return [np.flatnonzero(number == n) for n in np.unique(number)]
+
+
+def band_candidates(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, reach: float) -> list[np.ndarray]:
     """Places of the rows that each query is compared with: of at least k ids besides its own, if there are."""
+    rows, queries = lifted(rows, queries)
     forest, wanted = Forest(rows), math.ceil(reach * len(rows)) + SPARE * k
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
     rising, most = np.arange(len(queries)), len(np.unique(ids))
@@ -102,9 +125,10 @@ def block_neighbours(rows: np.ndarray, ids: np.ndarray, queries: np.ndarray, own
     """(query's place, id, score) of the up to k best candidates of each query; ties to the smaller id."""
     order = np.argsort(ids, kind="stable")
     rows, ids = rows[order], ids[order]
-    candidates = block_candidates(rows, ids, queries, own, k, reach)
+    found = [[band[near] for near in band_candidates(rows[band], ids[band], queries, own, k, reach)] for band in bands(rows)]
     out = []
-    for q, (query, near) in enumerate(zip(queries, candidates, strict=True)):
+    for q, query in enumerate(queries):
+        near = np.sort(np.concatenate([of_band[q] for of_band in found]))
         rough = rows[near] @ query
         if len(near) > k:
             bar = np.partition(rough, len(near) - k)[len(near) - k]

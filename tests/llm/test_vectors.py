@@ -86,6 +86,15 @@ def test_copies_leave_room_for_other_neighbours(count, copies):
     assert recall >= 0.9 and answers == 20
 
 
+@pytest.mark.parametrize("spread", [0.3, 0.6, 1.0])
+def test_recall_with_unequal_lengths(spread):
+    rng = np.random.default_rng(12)
+    rows = rng.standard_normal((8000, 64))
+    rows *= np.exp(spread * rng.standard_normal((8000, 1))) / np.linalg.norm(rows, axis=1, keepdims=True)
+    recall, answers = forest_recall(rows, np.arange(0, 8000, 200))
+    assert recall >= 0.9 and answers == 20
+
+
 def test_awkward_searches(awkward_vectors):
     got = prefix_forest.nearest(awkward_vectors, F.lit(True), 3).collect()
     ids = {r.query_id for r in got}
