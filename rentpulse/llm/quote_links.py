@@ -1,9 +1,12 @@
 """Conversations from messages that quote each other.
 
-Lines that start with ``>`` are quotes, as deep as they have marks. Every quoted line, normalised and
-hashed, is looked up among the lines its conversation's members wrote themselves, as of the moment of
-the reply: the latest earlier author of that line. A message replies to the one most of its shallowest
-matched quotes come from; following replies to their start by pointer doubling gives the threads.
+Lines that start with ``>`` are quotes, as deep as they have marks. A passage is a run of lines of one
+level, blank ones left out. Every quoted passage, normalised and hashed, is looked up among the passages
+its conversation's members wrote themselves, as of the moment of the reply: its latest earlier author. The
+lines of passages that nobody wrote as a whole are looked up one by one. What many messages have, as
+greetings and signatures, tells little, so a vote counts the less the more messages have it. A message
+replies to the one most of its shallowest matched quotes come from; following replies to their start by
+pointer doubling gives the threads.
 """
 
 from __future__ import annotations
@@ -15,6 +18,8 @@ from pyspark.sql import Window as W
 from rentpulse.sources.scratch import materialize
 
 _MARKS = r"^(?:>[ \t]?)+"
+# Of a line that one message has; a line that n have weighs the n-th part of the n-th part, 1 at least.
+WEIGHT = 1 << 20
 
 
 def _lines(text: Column) -> Column:
@@ -43,23 +48,47 @@ def quote(text: Column) -> Column:
     return F.array_join(F.transform(_lines(text), lambda line: F.concat(F.lit("> "), line)), "\n")
 
 
+def passages(messages: DataFrame) -> DataFrame:
+    """conv_id, turn, level, digest, lines (their hashes, in order) and n of the passages of each message."""
+    pairs = F.transform(_lines(F.col("text")), lambda line: F.struct(level(line).alias("level"), digest(line).alias("digest")))
+    pairs = F.filter(pairs, lambda pair: pair["digest"].isNotNull())
+    known = messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    # Exploded, the array is computed once and not again for every passage.
+    known = known.select("conv_id", "turn", F.explode(F.array(pairs)).alias("pairs")).filter(F.size("pairs") > 0)
+    at = F.sequence(F.lit(1), F.size("pairs"))
+    depth = lambda i: F.get(F.col("pairs"), i - 1)["level"]
+    first = F.filter(at, lambda i: ~depth(i).eqNullSafe(depth(i - 1)))
+    last = F.filter(at, lambda i: ~depth(i).eqNullSafe(depth(i + 1)))
+    run = lambda a, b: F.struct(depth(a).alias("level"), F.slice("pairs", a, b - a + 1)["digest"].alias("lines"))
+    runs = known.select("conv_id", "turn", F.explode(F.zip_with(first, last, run)).alias("run")).select("conv_id", "turn", "run.*")
+    runs = runs.withColumn("digest", F.xxhash64("lines"))
+    return runs.groupBy("conv_id", "turn", "level", "digest").agg(F.first("lines").alias("lines"), F.count(F.lit(1)).alias("n"))
+
+
+def with_source(parts: DataFrame) -> DataFrame:
+    """Adds source, the latest earlier turn that has the part as its own, and how many earlier ones have."""
+    author = F.when(F.col("level") == 0, F.col("turn"))
+    earlier = W.partitionBy("conv_id", "digest").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
+    return parts.withColumns({"source": F.max(author).over(earlier), "authors": F.count(author).over(earlier)})
+
+
 def replies(messages: DataFrame) -> DataFrame:
     """conv_id, turn, reply_to, n_quotes and n_found of every message with a quoted line that is found.
 
-    Takes conv_id, turn and text. A quoted line belongs to the latest earlier message of the conversation
-    that has it as its own. Among the found quotes of the least depth, the message with the most lines is
-    replied to, the later one of equals.
+    Takes conv_id, turn and text. A quoted passage belongs to the latest earlier message of the conversation
+    that has it as a passage of its own, each line of any other to the latest that has the line as its own.
+    Among the found quotes of the least depth, the message with the most lines is replied to, a line that
+    several earlier messages have weighing less, and the later message of equals.
     """
-    line = F.col("line")
-    lines = messages.select("conv_id", "turn", F.explode(_lines(F.col("text"))).alias("line"))
-    lines = lines.select("conv_id", "turn", level(line).alias("level"), digest(line).alias("digest"))
-    lines = lines.filter("digest IS NOT NULL AND conv_id IS NOT NULL AND turn IS NOT NULL")
-    lines = lines.groupBy("conv_id", "turn", "level", "digest").agg(F.count(F.lit(1)).alias("n"))
-    author = F.when(F.col("level") == 0, F.col("turn"))
-    earlier = W.partitionBy("conv_id", "digest").orderBy("turn").rangeBetween(W.unboundedPreceding, -1)
-    found = lines.withColumn("source", F.max(author).over(earlier)).filter("level > 0")
-    votes = found.groupBy("conv_id", "turn", "level", "source").agg(F.sum("n").alias("n"))
-    best = F.max(F.when(F.col("source").isNotNull(), F.struct((-F.col("level")).alias("l"), "n", "source")))
+    whole = materialize(with_source(passages(messages)), "passages")
+    single = whole.filter("level = 0 OR source IS NULL").select("conv_id", "turn", "level", F.explode("lines").alias("digest"), "n")
+    single = with_source(single.groupBy("conv_id", "turn", "level", "digest").agg(F.sum("n").alias("n")))
+    columns = ["conv_id", "turn", "level", "source", "authors", "n"]
+    found = whole.filter("level > 0 AND source IS NOT NULL").withColumn("n", F.col("n") * F.size("lines"))
+    found = found.select(*columns).unionByName(single.filter("level > 0").select(*columns))
+    weight = F.greatest(F.lit(1), F.expr(f"bigint({WEIGHT}) div greatest(1, authors * authors)"))
+    votes = found.groupBy("conv_id", "turn", "level", "source").agg(F.sum(F.col("n") * weight).alias("weight"), F.sum("n").alias("n"))
+    best = F.max(F.when(F.col("source").isNotNull(), F.struct((-F.col("level")).alias("l"), "weight", "source")))
     chosen = votes.groupBy("conv_id", "turn").agg(
         best.alias("best"), F.sum("n").alias("n_quotes"), F.sum(F.when(F.col("source").isNotNull(), F.col("n"))).alias("n_found")
     )

@@ -12,6 +12,10 @@ def messages(spark, rows):
     return spark.createDataFrame([(*r, "x", 1, 1) for r in rows], MESSAGE)
 
 
+def quote(text):
+    return "\n".join("> " + line for line in text.split("\n"))
+
+
 def places(df):
     return sorted(((r.conv_id, r.turn, r.reply_to, r.root_turn, r.depth, r.position, r.body) for r in df.collect()), key=str)
 
@@ -52,6 +56,27 @@ def test_a_repeated_line_belongs_to_its_latest_earlier_author(spark):
     assert got == {0: None, 1: None, 2: None, 3: 2, 4: None}
 
 
+@pytest.mark.parametrize("quoted", ["unique\nBest,\nBob", "Unique\n\nBest,\nBob", "unique\nBob"])
+def test_recurring_lines_do_not_outvote_the_line_that_tells(spark, quoted):
+    """Turn 3 ends as turn 1 does; a quote of turn 1, whole or in part, leads to turn 1 and its thread."""
+    rows = [
+        (1, 0, "a", "a question"),
+        (1, 1, "b", "unique\nBest,\nBob"),
+        (1, 2, "a", "another topic"),
+        (1, 3, "b", "something else\nBest,\nBob"),
+        (1, 4, "a", quote(quoted) + "\nan answer"),
+        (1, 5, "c", quote("another topic") + "\n" + quote(quote("Best,\nBob")) + "\nlate"),
+    ]
+    got = {r[1]: r[2:5] for r in places(quote_links.conversations(messages(spark, rows)))}
+    assert got[4] == (1, 1, 1) and got[5] == (2, 2, 1)
+
+
+def test_passages_are_runs_of_one_level(spark):
+    text = "> a\n>\n> b\n> > c\nown\n\nmore\n> a\n> b"
+    got = quote_links.passages(messages(spark, [(1, 0, "a", text)])).collect()
+    assert sorted((r.level, len(r.lines), r.n) for r in got) == [(0, 2, 1), (1, 2, 2), (2, 1, 1)]
+
+
 def test_long_chains(spark):
     rows = [(1, 0, "a", "line 0")] + [(1, t, "a", f"> line {t - 1}\nline {t}") for t in range(1, 70)]
     got = quote_links.conversations(messages(spark, rows)).collect()
