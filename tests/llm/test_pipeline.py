@@ -70,6 +70,16 @@ def test_unlearned_scripts_go_and_real_documents_stay(spark, documents, sf_dir):
     assert all(stayed.count(name) <= 3 for name in scripts)
 
 
+def test_replacement_characters_of_the_input_stay(spark, documents):
+    """Documents that share 300 bytes between characters of two bytes, which differ in the second or first one."""
+    shared = "".join(f"word{i} " for i in range(45))
+    texts = ["one \ufffd start é" + shared + "à end \ufffd one", "two start ĩ" + shared + "â other end", "three \ufffd"]
+    docs = spark.createDataFrame([(i, text, "en", "a", len(text)) for i, text in enumerate(texts)], documents.schema)
+    cut = {r.doc_id: r for r in pipeline.cut_repeats(spark, docs, "").collect()}
+    assert cut[0].text == "one \ufffd start  end \ufffd one" and cut[1].text == "two start  other end"
+    assert cut[2].text == "three \ufffd" and all(r.n_chars == len(r.text) for r in cut.values())
+
+
 @pytest.mark.parametrize("name", ["op2_url_lists", "op3_source_mix", "op5_quote_links"])
 def test_query_matches_sql(spark, sf_dir, name):
     db = duckdb.connect()
