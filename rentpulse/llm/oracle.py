@@ -96,5 +96,52 @@ FROM g
 """
 
 
+OP11 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents WHERE text IS NOT NULL
+),
+p AS (SELECT lang, unnest(pieces) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS words FROM p),
+w2 AS (SELECT row_number() OVER () AS id, lang, words FROM w),
+u AS (SELECT id, lang, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM w2),
+e AS (
+  SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3, lead(w, 3) OVER o AS w4
+  FROM u WINDOW o AS (PARTITION BY id ORDER BY i)
+),
+f AS (
+  SELECT lang, 1 AS k, w1 AS phrase, count(*) AS f FROM e GROUP BY ALL
+  UNION ALL SELECT lang, 2, w1 || ' ' || w2, count(*) FROM e WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 3, concat_ws(' ', w1, w2, w3), count(*) FROM e WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, 4, concat_ws(' ', w1, w2, w3, w4), count(*) FROM e WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+),
+t AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY 1),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+cuts AS (
+  SELECT lang, k, phrase, a, cut, array_to_string(words[1:cut], ' ') AS head, array_to_string(words[cut + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)
+),
+x AS (
+  SELECT cuts.lang, cuts.phrase, a, cut, l.f AS l, r.f AS r, (a::HUGEINT * 2000000 // (l.f + r.f)::HUGEINT)::BIGINT AS score
+  FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = head JOIN f r ON r.lang = cuts.lang AND r.phrase = tail
+),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(words[i:i + z - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, k - z + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS z FROM c WHERE k > 2))
+),
+h AS (
+  SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_phrases m ON m.lang = c.lang AND m.phrase = c.phrase
+  WHERE m.a::HUGEINT * 100 >= c.a::HUGEINT * 80
+),
+o AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b ANTI JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
+)
+SELECT o.lang, o.rank, o.phrase, o.a, o.l, o.r, t.n::BIGINT AS n, o.score FROM o JOIN t ON t.lang = o.lang WHERE o.rank <= 2000
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_url_lists": OP2, "op3_source_mix": OP3, "op5_quote_links": OP5}
+    return {"op2_url_lists": OP2, "op3_source_mix": OP3, "op5_quote_links": OP5, "op11_word_graph": OP11}

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentpulse.llm import (
@@ -17,14 +17,17 @@ from rentpulse.llm import (
     cap_filters,
     hidden_markov,
     language_id,
+    license_index,
     prefix_forest,
     quote_links,
     setsketch,
     source_mix,
+    square_catchers,
     suffix_dedup,
     url_lists,
+    word_graph,
 )
-from rentpulse.llm.common import crc_remainder, read_table
+from rentpulse.llm.common import WORD, crc_remainder, read_table, whole_text
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -136,6 +139,61 @@ def hidden_markov_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score(docs.withColumn("held_out", crc_remainder("doc_id", 7) == 2))
 
 
+def word_graph_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_graph.collocations(read_table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """doc_id and text, in a tenth of the documents with a stretch to the text's end that repeats its first words.
+
+    Which ones, from where and with what period follows from crc32 of the doc_id as text (NULL: empty).
+    """
+    words = F.regexp_extract_all(whole_text(), F.lit(WORD), F.lit(0))
+    numbered = docs.withColumn("h", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
+    chosen = numbered.withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("words"))
+    chosen = chosen.withColumn("a", F.expr("if(n > 0, int((h div 10) % n), 0)"))
+    chosen = chosen.withColumn("p", F.expr("int(1 + (n - a) div (3 + (h div 10) % 8))"))
+    again = F.expr("transform(sequence(0, n - 1), i -> words[if(i < a, i, a + (i - a) % p)])")
+    return chosen.select("doc_id", F.when(F.col("n") > 0, F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def square_catchers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_period(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = docs.select("doc_id", square_catchers.periodic_runs()("text").alias("f")).select("doc_id", "f.*")
+    found = found.withColumn("top", F.expr("array_min(transform(runs, r -> struct(-r.length AS shorter, r.start AS start, r.period AS period)))"))
+    lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')"
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("top.start").alias("start"),
+        (-F.col("top.shorter")).alias("length"),
+        F.col("top.period").alias("period"),
+        F.expr("1000 * -top.shorter div top.period").alias("exponent_milli"),
+        F.sha2(F.expr(lines).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def license_index_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = license_index.find_licenses(docs).select("doc_id", "licenses.*")
+    found = found.withColumn("exact", F.expr("filter(places, p -> p.exact)"))
+
+    def labels(places: str) -> Column:
+        return F.array_join(F.sort_array(F.array_distinct(F.col(f"{places}.label"))), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("exact").cast("long").alias("n_base"),
+        F.array_min("exact.start").alias("first_word"),
+        F.array_max("exact.start").alias("last_word"),
+        labels("exact").alias("base_labels"),
+        labels("places").alias("labels"),
+        F.coalesce(F.array_max("places.score"), F.lit(0.0)).alias("score"),
+    )
+
+
 _QUERIES = {
     "op1_suffix_dedup": suffix_dedup_query,
     "op2_url_lists": url_lists_query,
@@ -147,6 +205,9 @@ _QUERIES = {
     "op8_prefix_forest": prefix_forest_query,
     "op9_cap_filters": cap_filters_query,
     "op10_hidden_markov": hidden_markov_query,
+    "op11_word_graph": word_graph_query,
+    "op12_square_catchers": square_catchers_query,
+    "op13_license_index": license_index_query,
 }
 
 

@@ -50,6 +50,14 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def prefix_hashes_of(values: np.ndarray) -> np.ndarray:
+    """As ``prefix_hashes``, of a sequence of integers."""
+    up, _ = _powers(max(len(values), 1))
+    out = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(mix(values.astype(np.uint64)) * up[: len(values)], out=out[1:])
+    return out
+
+
 def range_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the bytes in [start, end), equal for equal bytes wherever they are."""
     _, down = _powers(max(len(prefix), 1))
