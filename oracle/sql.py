@@ -305,6 +305,36 @@ SELECT * FROM raw WHERE NOT EXISTS (
     "raw_b": raw_listings("o_custkey % 50 <> 0"),
     **star("raw_a", "a_"),
     **star("raw_b", "b_"),
+    # All hosts in three states: as they are, later, as they are again.
+    "states": """
+SELECT *, host_id % 50 = 0 AS vanished, CASE WHEN host_id % 7 = 0 THEN calculated_host_listings_count + 1
+            ELSE calculated_host_listings_count END AS later_count,
+       CASE WHEN host_id % 21 = 0 THEN 'Operador profesional' ELSE host_profile END AS later_profile FROM dim_host""",
+    "moves": """
+SELECT *, vanished OR later_count IS DISTINCT FROM calculated_host_listings_count
+          OR later_profile IS DISTINCT FROM host_profile AS moved FROM states""",
+    "logged": """
+SELECT * EXCLUDE (vanished, later_count, later_profile, moved), date '2026-03-31' AS valid_from,
+       CASE WHEN moved THEN date '2026-07-02' END AS valid_to, NOT moved AS is_current FROM moves
+UNION ALL
+SELECT * EXCLUDE (vanished, later_count, later_profile, moved)
+         REPLACE (later_count AS calculated_host_listings_count, later_profile AS host_profile),
+       date '2026-07-02', date '2026-08-15', false FROM moves WHERE moved AND NOT vanished
+UNION ALL
+SELECT * EXCLUDE (vanished, later_count, later_profile, moved), date '2026-08-15', NULL::date, true FROM moves WHERE moved""",
+    "offered": r"""
+SELECT id::bigint AS listing_id, city,
+       CASE WHEN id::bigint % 13 = 0 THEN '["Wifi", "Kit' WHEN id::bigint % 17 = 0 THEN '{"Wifi": 1}'
+            WHEN id::bigint % 19 = 0 THEN NULL WHEN id::bigint % 23 = 0 THEN '[]'
+            ELSE '["Wifi"' || CASE WHEN id::bigint % 2 = 0 THEN ', "Kitchen"' ELSE '' END
+              || CASE WHEN id::bigint % 3 = 0 THEN ', " Caf\u00e9, \"bar\" "' ELSE '' END
+              || CASE WHEN id::bigint % 5 = 0 THEN ', null' ELSE '' END
+              || CASE WHEN id::bigint % 7 = 0 THEN ', "Wifi"' ELSE '' END
+              || CASE WHEN id::bigint % 11 = 0 THEN ', ""' ELSE '' END || ']' END AS amenities FROM raw""",
+    "bridge": """
+SELECT DISTINCT listing_id, city, trim(item) AS amenity
+FROM (SELECT listing_id, city, unnest(from_json(amenities, '["VARCHAR"]')) AS item FROM offered
+      WHERE json_valid(amenities) AND json_type(amenities) = 'ARRAY') o WHERE trim(item) <> ''""",
     "history": """
 SELECT a.*, date '2026-03-31' AS valid_from,
        CASE WHEN b.host_sk IS NULL OR a.calculated_host_listings_count IS DISTINCT FROM b.calculated_host_listings_count
@@ -481,6 +511,15 @@ FROM raw""",
         "src_csv_reviews": """
 SELECT listing_id, id, nullif(date, '') AS date, reviewer_id, reviewer_name, comments, city FROM raw_rev
 WHERE city = 'madrid'""",
+        "src_csv_reviews_all": """
+SELECT listing_id, id, nullif(date, '') AS date, reviewer_id, reviewer_name, comments, city FROM raw_rev""",
+        "src_bad_rows": f"""
+SELECT city, CASE WHEN fits THEN id END AS id, CASE WHEN fits THEN name END AS name,
+       CASE WHEN fits THEN {absent("availability_365")} END AS availability_365,
+       CASE WHEN id::bigint % 41 = 0 THEN id
+            WHEN NOT fits THEN id || ',"' || name || '",' || coalesce(availability_365, '') || ',surplus' END AS row
+FROM (SELECT *, id::bigint % 41 <> 0 AND id::bigint % 37 <> 0 AS fits FROM raw) r""",
+        "src_table_versions": "SELECT * FROM monthly WHERE review_year >= 2015",
         "src_export_fold": "SELECT * FROM dim_neighbourhood",
         "src_export_summary": """
 SELECT 2 AS tables, (SELECT count(*) FROM dim_neighbourhood) + (SELECT count(*) FROM monthly) AS n_rows, true AS has_size""",
@@ -544,6 +583,30 @@ QUALIFY snapshot_date >= max(snapshot_date) OVER (PARTITION BY city) - 30
   SELECT 1 FROM two_fact t WHERE t.listing_id = o.listing_id AND t.snapshot_date = o.snapshot_date)) u""",
             FACT_DOUBLES,
         ),
+        "incr_old_version": _rounded("one_fact", FACT_DOUBLES),
+        "scd2_log_history": "SELECT * FROM logged",
+        "scd2_log_open": "SELECT * FROM logged WHERE is_current",
+        "scd2_log_as_of": """
+SELECT * FROM logged WHERE valid_from <= date '2026-07-20' AND (valid_to IS NULL OR valid_to > date '2026-07-20')""",
+        "scd2_log_changed": """
+SELECT a.host_sk, a.valid_to AS changed_on, a.calculated_host_listings_count AS old_calculated_host_listings_count,
+       a.host_profile AS old_host_profile, b.calculated_host_listings_count AS new_calculated_host_listings_count,
+       b.host_profile AS new_host_profile
+FROM logged a JOIN logged b ON a.host_sk = b.host_sk AND a.valid_to = b.valid_from""",
+        "join_copartitioned": f"""
+SELECT f.listing_id, f.city, f.snapshot_date, dl.neighbourhood_cleansed, {rnd("f.price_winsorized")} AS price_winsorized
+FROM fact f LEFT JOIN dim_listing dl ON f.listing_id = dl.listing_id""",
+        "join_label_table": """
+SELECT r.id, r.host_id, c.c_name AS host_label FROM raw r LEFT JOIN customer c ON r.host_id = c.c_custkey::varchar""",
+        "stg_amenities": "SELECT * FROM bridge",
+        "mart_amenities": """
+SELECT b.city, b.amenity, count(*) AS n_listings, round(count(*) * 100 / t.listings, 2) AS pct_listings
+FROM bridge b JOIN (SELECT city, count(DISTINCT id) AS listings FROM raw GROUP BY city) t ON t.city = b.city
+GROUP BY b.city, b.amenity, t.listings""",
+        "agg_distinct_sketch": """
+SELECT city, review_year, count(DISTINCT reviewer_id) AS reviewers, true AS within_bound FROM reviews GROUP BY ALL""",
+        "agg_quantile_sketch": """
+SELECT l_returnflag, l_linestatus, count(l_extendedprice) AS n, true AS within_bound FROM lineitem GROUP BY ALL""",
         "scd2_first_load": """
 SELECT *, date '2026-03-31' AS valid_from, NULL::date AS valid_to, true AS is_current FROM a_dim_host""",
         "scd2_apply": "SELECT * FROM versions",
@@ -655,6 +718,11 @@ SELECT count(DISTINCT host_id) AS total_hosts,
 SELECT host_profile, count(DISTINCT host_id) AS num_hosts FROM host_mart GROUP BY host_profile""",
         "dash_listings_by_profile": f"""
 SELECT {label}, host_profile, sum(total_listings)::bigint AS total_listings FROM host_mart GROUP BY city, host_profile""",
+        "dash_profile_pivot": f"""
+SELECT {label}, coalesce(sum(CASE WHEN host_profile = 'Host individual' THEN total_listings END), 0)::bigint AS single_host,
+       coalesce(sum(CASE WHEN host_profile = 'Multipropiedad' THEN total_listings END), 0)::bigint AS multi_host,
+       coalesce(sum(CASE WHEN {pro} THEN total_listings END), 0)::bigint AS professional_host
+FROM host_mart GROUP BY city""",
         "dash_kpis_money": f"""
 SELECT {rnd(mean("median_price_winsorized"), 2)} AS median_price, {rnd(mean("avg_estimated_revenue"), 2)} AS avg_revenue,
        (SELECT {rnd(mean("estimated_annual_revenue"), 2)} FROM host_mart WHERE {pro}) AS avg_professional_revenue,

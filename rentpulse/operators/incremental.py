@@ -7,16 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentpulse.sources.manifest import commit_load, live_partitions, read_live, versions
 from rentpulse.sources.scratch import materialize
-from rentpulse.sources.tables import drop_partitions, overwrite_partitions, read_table, table_exists
 
 
 def unseen_partitions(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key combination does not occur in ``existing``.
 
     The check is per combination, so a group that arrives with an older date than another
-    group's latest is still loaded. Rows with a NULL key never count as seen. The combinations
-    are written first: their size is then known and decides how they are joined.
+    group's latest is still loaded. Rows with a NULL key never count as seen. ``existing`` may be the
+    list of a table's partitions. The combinations are written first: their size is then known and
+    decides how they are joined.
     """
     seen = materialize(existing.select(*keys).distinct(), "seen")
     return df.join(seen, list(keys), "left_anti")
@@ -27,11 +28,11 @@ def incremental_load(
 ) -> DataFrame:
     """Add the unseen partitions of ``df`` to the table at ``path`` and return the table.
 
-    The incoming rows are computed once, into a staged table. An incoming row replaces a stored row
-    with the same unique key in another partition; only the partitions that hold such rows are
-    rewritten, in the same write, and partitions left without rows are dropped after it: a load that
-    dies in between loses nothing, and a reader may see a moved row twice until the next load, which
-    drops it.
+    What is seen comes from the table's manifest; no stored row is read for it. The incoming rows are
+    computed once, into a staged table. An incoming row replaces a stored row with the same unique key
+    in another partition: the partitions that hold such rows are written again, without them, together
+    with the incoming ones, and one manifest swaps all of it. A load that dies at any point leaves the
+    table as it was.
     """
     spark = df.sparkSession
     keys = list(partition_by)
@@ -42,21 +43,18 @@ def incremental_load(
     if not df.filter(has_null).isEmpty():
         raise ValueError(f"NULL in the partition columns {keys}: such rows would load again on every run")
 
-    if not table_exists(spark, path):
-        overwrite_partitions(df, path, keys)
-        return read_table(spark, path, df.schema)
-
-    stored = read_table(spark, path, df.schema)
-    fresh = materialize(unseen_partitions(df, stored, keys), "fresh")
+    if not versions(spark, path):
+        commit_load(df, path, keys)
+        return read_live(spark, path, df.schema, keys)
 
+    fresh = materialize(unseen_partitions(df, live_partitions(spark, path, df.schema, keys), keys), "fresh")
+    stored = read_live(spark, path, df.schema, keys)
+    if fresh.isEmpty():
+        return stored
     shared = [key for key in keys if key in unique_key]
     same_dates = stored.join(fresh.select(*shared).distinct(), shared, "left_semi") if shared else stored
     replaced = same_dates.join(fresh.select(*unique_key), list(unique_key), "left_semi")
     touched = materialize(replaced.select(*keys).distinct(), "touched")
     kept = stored.join(touched, keys, "left_semi").join(fresh.select(*unique_key), list(unique_key), "left_anti")
-    rewritten = materialize(kept, "kept")
-    refilled = rewritten.select(*keys).unionByName(fresh.select(*keys)).distinct()
-    emptied = materialize(touched.join(refilled, keys, "left_anti"), "emptied")
-    overwrite_partitions(fresh.unionByName(rewritten), path, keys)
-    drop_partitions(spark, path, emptied, df.schema)
-    return read_table(spark, path, df.schema)
+    commit_load(fresh.unionByName(kept), path, keys, touched)
+    return read_live(spark, path, df.schema, keys)

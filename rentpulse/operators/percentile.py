@@ -105,7 +105,7 @@ def group_percentile(df: DataFrame, keys: Sequence[str], value: str, p: float, o
         )
         .select(
             *[F.col(f"__group.{k}").alias(k) for k in keys],
-            (F.col("__low") + (F.col("__high") - F.col("__low")) * F.col("__fraction")).alias(out),
+            (F.col("__low") * (1 - F.col("__fraction")) + F.col("__high") * F.col("__fraction")).alias(out),
         )
     )
 

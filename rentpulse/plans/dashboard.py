@@ -153,6 +153,14 @@ def listings_by_profile(host_mart: DataFrame, city: str | None = None) -> DataFr
     )
 
 
+def listings_by_profile_wide(host_mart: DataFrame, city: str | None = None) -> DataFrame:
+    """One row per city, one column per profile of the fixed domain; 0 where a city has none of it."""
+    profiles = [R.SINGLE_HOST, R.MULTI_HOST, R.PROFESSIONAL_HOST]
+    counted = for_city(host_mart, city).groupBy("ciudad").pivot("host_profile", profiles).agg(F.sum("total_listings"))
+    names = ["single_host", "multi_host", "professional_host"]
+    return counted.select("ciudad", *[_or_zero(F.col(p)).cast("bigint").alias(n) for p, n in zip(profiles, names, strict=True)])
+
+
 def money_kpis(city_mart: DataFrame, host_mart: DataFrame, city: str | None = None) -> DataFrame:
     """Mean median price, mean revenue, mean professional revenue, mean multi-host share."""
     cities = for_city(city_mart, city).select(

@@ -18,11 +18,11 @@ from rentpulse.functions import dates as D
 from rentpulse.functions import labels as L
 from rentpulse.functions.keys import surrogate_key
 from rentpulse.functions.numeric import safe_divide
-from rentpulse.operators import dedup, percentile, quality, scd2, winsorize
-from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
+from rentpulse.operators import dedup, percentile, quality, scd2, sketches, winsorize
+from rentpulse.plans import amenities, checks, dashboard, dims, facts, marts, silver
 from rentpulse.plans.warehouse import SCD2_CHECK_COLUMNS, SCD2_KEY, PublishedWarehouse, Warehouse
 from rentpulse.rules import RentalRules
-from rentpulse.sources import carrier, extracts, tables
+from rentpulse.sources import buckets, carrier, change_log, extracts, manifest, tables
 from rentpulse.sources.scratch import materialize, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 RULES = RentalRules(as_of=carrier.AS_OF)
 FIRST_SNAPSHOT = dt.date(2026, 3, 31)
 SECOND_SNAPSHOT = dt.date(2026, 7, 2)
+THIRD_SNAPSHOT = dt.date(2026, 8, 15)
+LISTING_BUCKETS = 16
 
 _c = F.col
 _QUERIES: dict[str, Query] = {}
@@ -234,6 +236,46 @@ def src_csv_reviews(spark, sf_dir):
     return tables.read_table(spark, f"{root}/bronze", extracts.text_schema([*extracts.REVIEW_COLUMNS, "city"]))
 
 
+@query
+def src_csv_reviews_all(spark, sf_dir):
+    """All cities' reviews written as gzipped CSV with other headers and loaded again in one scan, by position."""
+    root = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    rows = materialize(carrier.raw_reviews(spark, sf_dir), "reviews")
+    renamed = rows.toDF(*[f"c{i}" for i in range(len(extracts.REVIEW_COLUMNS))], "city")
+    renamed.write.partitionBy("city").options(header=True, escape='"', compression="gzip", emptyValue="").csv(f"{root}/in")
+    cities = [row.city for row in rows.select("city").distinct().collect()]  # one folder each
+    extracts.load_reviews(spark, {city: f"{root}/in/city={city}" for city in cities}, f"{root}/bronze")
+    return tables.read_table(spark, f"{root}/bronze", extracts.text_schema([*extracts.REVIEW_COLUMNS, "city"]))
+
+
+@query
+def src_bad_rows(spark, sf_dir):
+    """All cities' listings from files in which some rows have a field too many or too few: loaded and set aside."""
+    root = f"{shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    number = C.try_long("id")
+    whole = F.concat("id", F.lit(',"'), "name", F.lit('",'), F.coalesce("availability_365", F.lit("")))
+    line = F.when(number % 41 == 0, _c("id")).when(number % 37 == 0, F.concat(whole, F.lit(",surplus"))).otherwise(whole)
+    rows = materialize(_raw(spark, sf_dir).select(line.alias("id,name,availability_365"), "city"), "lines")
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0002", "compression": "gzip"}  # the line as it is
+    rows.write.partitionBy("city").options(**plain).csv(f"{root}/in")
+    cities = [row.city for row in rows.select("city").distinct().collect()]  # one folder each
+    files = {city: f"{root}/in/city={city}" for city in cities}
+    extracts.load_listings(spark, files, f"{root}/bronze", quarantine=f"{root}/quarantine")
+    loaded = tables.read_table(spark, f"{root}/bronze", extracts.text_schema([*extracts.LISTING_COLUMNS, "city"]))
+    aside = tables.read_table(spark, f"{root}/quarantine", extracts.text_schema(["file", "row", "city"]))
+    return loaded.select("city", "id", "name", "availability_365").unionByName(aside.drop("file"), allowMissingColumns=True)
+
+
+@query
+def src_table_versions(spark, sf_dir):
+    """A table published twice, as its readers find it: the reviews by month, then those since 2015 only."""
+    base = f"{shared_dir(spark)}/versions-{uuid.uuid4().hex}"
+    monthly = _warehouse_reviews(spark, sf_dir)
+    tables.publish_version(monthly, base)
+    tables.publish_version(monthly.filter("review_year >= 2015"), base)
+    return tables.latest_version(spark, base)
+
+
 def _exported(spark: SparkSession, sf_dir: str, root: str) -> list[tables.ExportResult]:
     location = silver.stg_location(_raw(spark, sf_dir))
     places = dims.dim_neighbourhood(location)
@@ -355,6 +397,39 @@ def agg_composite_score(spark, sf_dir):
     return rounded(scored, 2)
 
 
+@query
+def agg_distinct_sketch(spark, sf_dir):
+    """Reviewers per city and year from monthly sketches, held against the exact count."""
+    reviews = materialize(silver.stg_reviews(carrier.raw_reviews(spark, sf_dir)).select("city", "review_year", "review_month", "reviewer_id"), "reviews")
+    monthly = sketches.distinct_sketches(reviews, ["city", "review_year", "review_month"], "reviewer_id", "sketch")
+    yearly = sketches.roll_up_distinct(materialize(monthly, "sketches"), ["city", "review_year"], "sketch")
+    exact = reviews.groupBy("city", "review_year").agg(F.countDistinct("reviewer_id").alias("reviewers"))
+    both = exact.join(
+        yearly.withColumnsRenamed({"city": "c", "review_year": "y"}),
+        exact["city"].eqNullSafe(_c("c")) & exact["review_year"].eqNullSafe(_c("y")),
+    )
+    near = F.abs(sketches.distinct_estimate("sketch") - _c("reviewers")) <= _c("reviewers") * sketches.distinct_error()
+    return both.select("city", "review_year", "reviewers", near.alias("within_bound"))
+
+
+@query
+def agg_quantile_sketch(spark, sf_dir):
+    """P95 of prices from sketches per group and part, merged per group; its rank held against the rows."""
+    lines = carrier.read_table(spark, sf_dir, "lineitem").withColumn("part", _c("l_linenumber"))
+    keys = ["l_returnflag", "l_linestatus"]
+    parts = sketches.quantile_sketches(lines, [*keys, "part"], "l_extendedprice", "sketch")
+    merged = sketches.roll_up_quantiles(materialize(parts, "sketches"), keys, "sketch")
+    p95 = materialize(merged.select(*keys, sketches.quantile_estimate("sketch", 0.95).alias("p95")), "p95")
+    ranked = lines.join(p95, keys).groupBy(*keys).agg(
+        F.count("l_extendedprice").alias("n"),
+        F.count_if(_c("l_extendedprice") < _c("p95")).alias("below"),
+        F.count_if(_c("l_extendedprice") <= _c("p95")).alias("upto"),
+    )
+    slack = sketches.quantile_rank_error()
+    near = (_c("below") <= _c("n") * (0.95 + slack)) & (_c("upto") >= _c("n") * (0.95 - slack))
+    return ranked.select(*keys, "n", near.alias("within_bound"))
+
+
 # Keys, dimensions, joins
 
 
@@ -396,6 +471,59 @@ def join_left_single(spark, sf_dir):
     return _warehouse(spark, sf_dir).window_listings.select(*columns)
 
 
+@query
+def join_copartitioned(spark, sf_dir):
+    """Fact and listing dimension stored by listing, joined without moving either."""
+    warehouse = _warehouse(spark, sf_dir)
+    fact = buckets.write_bucketed(warehouse.fact_listings, "fact_listings", "listing_id", LISTING_BUCKETS)
+    listings = buckets.write_bucketed(warehouse.dim_listing, "dim_listing", "listing_id", LISTING_BUCKETS)
+    places = listings.select("listing_id", "neighbourhood_cleansed").hint("merge")
+    met = fact.join(places, "listing_id", "left")
+    return rounded(met.select("listing_id", "city", "snapshot_date", "neighbourhood_cleansed", "price_winsorized"))
+
+
+@query
+def join_label_table(spark, sf_dir):
+    """Host names looked up in a table of labels, one per customer."""
+    names = carrier.read_table(spark, sf_dir, "customer").selectExpr("string(c_custkey) AS host_id", "c_name AS label")
+    listings = _raw(spark, sf_dir).select("id", "host_id")
+    return L.join_labels(listings, materialize(names, "labels"), "host_id", "host_label")
+
+
+def _offered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listings with amenities texts that differ: JSON arrays, broken JSON, other JSON, none."""
+    number = C.try_long("id")
+    items = F.array_compact(
+        F.array(
+            F.lit('"Wifi"'),
+            F.when(number % 2 == 0, F.lit('"Kitchen"')),
+            F.when(number % 3 == 0, F.lit('" Caf\\u00e9, \\"bar\\" "')),
+            F.when(number % 5 == 0, F.lit("null")),
+            F.when(number % 7 == 0, F.lit('"Wifi"')),
+            F.when(number % 11 == 0, F.lit('""')),
+        )
+    )
+    text = (
+        F.when(number % 13 == 0, F.lit('["Wifi", "Kit'))
+        .when(number % 17 == 0, F.lit('{"Wifi": 1}'))
+        .when(number % 19 == 0, F.lit(None))
+        .when(number % 23 == 0, F.lit("[]"))
+        .otherwise(F.concat(F.lit("["), F.array_join(items, ", "), F.lit("]")))
+    )
+    return _raw(spark, sf_dir).select(number.alias("listing_id"), "city", text.alias("amenities"))
+
+
+@query
+def stg_amenities(spark, sf_dir):
+    return amenities.listing_amenities(_offered(spark, sf_dir))
+
+
+@query
+def mart_amenities(spark, sf_dir):
+    offered = materialize(_offered(spark, sf_dir), "offered")
+    return amenities.amenity_shares(amenities.listing_amenities(offered), offered)
+
+
 @query
 def join_left_composite(spark, sf_dir):
     location = silver.stg_location(_raw(spark, sf_dir))
@@ -458,6 +586,18 @@ def incr_new_partitions(spark, sf_dir):
     return _loads(spark, sf_dir, both=True)
 
 
+@query
+def incr_old_version(spark, sf_dir):
+    """The version before the newest, as a reader that began with it still finds it after the second load."""
+    root = f"{shared_dir(spark)}/published-{uuid.uuid4().hex}"
+    raw, reviews = _bronze(spark, sf_dir), carrier.raw_reviews(spark, sf_dir)
+    first = PublishedWarehouse(root, raw.filter(_c("city") != "mallorca"), reviews, RULES).fact_listings
+    second = PublishedWarehouse(root, raw, reviews, RULES).fact_listings
+    path = f"{root}/fact_listings"
+    before = manifest.versions(spark, path)[-2]
+    return rounded(manifest.read_live(spark, path, first.schema, facts.FACT_PARTITIONS, before).select(*second.columns))
+
+
 # Type-2 history
 
 
@@ -500,6 +640,57 @@ def scd2_changed(spark, sf_dir):
     return scd2.scd2_changed(history, SCD2_KEY, SCD2_CHECK_COLUMNS)
 
 
+def _later_state(hosts: DataFrame) -> DataFrame:
+    """All hosts as a later snapshot has them: some with one listing more, some turned professional, some gone.
+
+    Which host does what follows from its id; ``vanished`` is a column of the state.
+    """
+    more = F.when(_c("host_id") % 7 == 0, _c("calculated_host_listings_count") + 1)
+    profile = F.when(_c("host_id") % 21 == 0, F.lit(R.PROFESSIONAL_HOST))
+    return hosts.withColumns(
+        {
+            "calculated_host_listings_count": F.coalesce(more, "calculated_host_listings_count"),
+            "host_profile": F.coalesce(profile, "host_profile"),
+            "vanished": _c("host_id") % 50 == 0,
+        }
+    )
+
+
+def _logged_history(spark: SparkSession, sf_dir: str) -> change_log.ChangeLog:
+    """Three runs over all hosts: as they are, in a later state, as they are again; a checkpoint after the second."""
+    hosts = materialize(dims.dim_host(silver.stg_host(_raw(spark, sf_dir), RULES), RULES), "hosts")
+    later = _later_state(hosts).filter(~_c("vanished")).drop("vanished")
+    step = scd2.scd2_first_load(hosts, FIRST_SNAPSHOT)
+    base = f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+    log = change_log.ChangeLog(spark, base, SCD2_KEY, step.schema, every=2)
+    log.append(step)
+    for state, day in ((later, SECOND_SNAPSHOT), (hosts, THIRD_SNAPSHOT)):
+        log.append(scd2.scd2_step(log.open_versions(), state, SCD2_KEY, SCD2_CHECK_COLUMNS, day, changes_only=True))
+    return log
+
+
+@query
+def scd2_log_history(spark, sf_dir):
+    """The stored history of all hosts, from a checkpoint and the changes after it."""
+    return _logged_history(spark, sf_dir).history()
+
+
+@query
+def scd2_log_open(spark, sf_dir):
+    return _logged_history(spark, sf_dir).open_versions()
+
+
+@query
+def scd2_log_as_of(spark, sf_dir):
+    return scd2.scd2_as_of(_logged_history(spark, sf_dir).history(), dt.date(2026, 7, 20))
+
+
+@query
+def scd2_log_changed(spark, sf_dir):
+    history = materialize(_logged_history(spark, sf_dir).history(), "history")
+    return scd2.scd2_changed(history, SCD2_KEY, SCD2_CHECK_COLUMNS)
+
+
 # Marts
 
 
@@ -664,6 +855,11 @@ def dash_listings_by_profile(spark, sf_dir):
     return dashboard.listings_by_profile(_warehouse(spark, sf_dir).mart_host_profile)
 
 
+@query
+def dash_profile_pivot(spark, sf_dir):
+    return dashboard.listings_by_profile_wide(_warehouse(spark, sf_dir).mart_host_profile)
+
+
 @query
 def dash_kpis_money(spark, sf_dir):
     warehouse = _warehouse(spark, sf_dir)

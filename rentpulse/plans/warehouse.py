@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from rentpulse.functions.dates import try_date
 from rentpulse.operators.incremental import incremental_load, unseen_partitions
-from rentpulse.operators.scd2 import scd2_current, scd2_first_load, scd2_from_log, scd2_step
+from rentpulse.operators.scd2 import scd2_first_load, scd2_step
 from rentpulse.plans import checks, dashboard, dims, facts, marts, silver
 from rentpulse.rules import RentalRules
 from rentpulse.sources import tables as T
+from rentpulse.sources.change_log import ChangeLog
+from rentpulse.sources.manifest import live_partitions, versions
 from rentpulse.sources.scratch import materialize
 
 SCD2_KEY = "host_sk"
@@ -183,10 +185,10 @@ class PublishedWarehouse(Warehouse):
         def fact(listings: DataFrame) -> DataFrame:
             return facts.fact_listings(silver.wide_listings(listings, self.rules, self.price_caps), self.dim_host, self.rules)
 
-        if T.table_exists(self.spark, path):
-            stored = T.read_table(self.spark, path, fact(raw).schema)
+        if versions(self.spark, path):
+            seen = live_partitions(self.spark, path, fact(raw).schema, facts.FACT_PARTITIONS)
             dated = raw.withColumn("snapshot_date", try_date("last_scraped"))
-            raw = unseen_partitions(dated, stored, facts.FACT_PARTITIONS).drop("snapshot_date")
+            raw = unseen_partitions(dated, seen, facts.FACT_PARTITIONS).drop("snapshot_date")
         return incremental_load(fact(raw), path, facts.FACT_PARTITIONS, facts.FACT_KEYS)
 
     @cached_property
@@ -198,22 +200,15 @@ class PublishedWarehouse(Warehouse):
     def host_history(self, as_of: dt.date) -> DataFrame:
         """Apply the current host dimension to the stored history and return the new history.
 
-        Each run appends one folder with the versions it opened and closed, nothing for hosts that did
-        not change; a version that is closed later is superseded when reading. A folder counts once its
-        success marker exists, and no run overwrites what it reads.
+        Each run appends the versions it opened and closed, nothing for hosts that did not change; see
+        ``ChangeLog`` for how they are kept. No run overwrites what it reads.
         """
-        base = f"{self.root}/dim_host_snapshot"
-        done = T.complete_versions(self.spark, base)
         step = scd2_first_load(self.dim_host, as_of)
-        schema = step.schema
-        if done:
-            log = self.spark.read.schema(schema).parquet(*[T.version_path(base, v) for v in done])
-            opened = scd2_current(scd2_from_log(log, SCD2_KEY))
-            step = scd2_step(opened, self.dim_host, SCD2_KEY, SCD2_CHECK_COLUMNS, as_of, changes_only=True)
-        done.append(done[-1] + 1 if done else 1)
-        step.write.mode("overwrite").parquet(T.version_path(base, done[-1]))
-        log = self.spark.read.schema(schema).parquet(*[T.version_path(base, v) for v in done])
-        return scd2_from_log(log, SCD2_KEY)
+        log = ChangeLog(self.spark, f"{self.root}/dim_host_snapshot", SCD2_KEY, step.schema)
+        if log.runs():
+            step = scd2_step(log.open_versions(), self.dim_host, SCD2_KEY, SCD2_CHECK_COLUMNS, as_of, changes_only=True)
+        log.append(step)
+        return log.history()
 
     def build(self, as_of: dt.date) -> DataFrame:
         """Publish every gold table and return the failed checks as (check_name, table_name, detail)."""

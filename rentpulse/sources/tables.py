@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -27,6 +27,17 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(jvm_path).getLength()
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    jvm_path, fs = _path(spark, path)
+    return sorted(status.getPath().getName() for status in fs.listStatus(jvm_path) if status.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    jvm_path, fs = _path(spark, path)
+    fs.delete(jvm_path, True)
+
+
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """A Parquet table; the schema keeps partition values from being re-typed by their look."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -63,17 +74,25 @@ def drop_partitions(spark: SparkSession, path: str, partitions: DataFrame, schem
 
 
 def reload_group(
-    df: DataFrame, path: str, group_col: str, groups: Sequence[str], *, allow_empty: bool = False
+    df: DataFrame,
+    path: str,
+    group_col: str,
+    groups: Sequence[str],
+    *,
+    allow_empty: bool = False,
+    staged: bool = False,
 ) -> dict[str, int]:
     """Idempotent load: the rows of the named groups replace what the table holds for them.
 
     Other groups stay untouched, also when ``df`` carries rows of them. A group without
     incoming rows is an error, unless ``allow_empty`` says that its partition shall go. The incoming
-    rows are staged and counted first: nothing stored changes when the call fails its checks. Returns
-    the loaded rows per group.
+    rows are staged (unless ``df`` is ``staged`` already) and counted first: nothing stored changes when
+    the call fails its checks. Returns the loaded rows per group.
     """
     spark = df.sparkSession
-    incoming = materialize(df.filter(F.col(group_col).isin(*groups)), "incoming")
+    incoming = df.filter(F.col(group_col).isin(*groups))
+    if not staged:
+        incoming = materialize(incoming, "incoming")
     counted = {row[group_col]: row["n"] for row in group_counts(incoming, group_col).collect()}  # named groups only
     loaded = {group: counted.get(group, 0) for group in groups}
     empty = [g for g, n in loaded.items() if n == 0]
@@ -103,17 +122,18 @@ class ExportResult:
 def export_tables(tables: Mapping[str, DataFrame], out_dir: str) -> list[ExportResult]:
     """Write each table as snappy Parquet with lower-case columns.
 
-    A failing table is reported and does not stop the others. Row counts come from the footers
-    of the written files.
+    A failing table is reported and does not stop the others. The rows are counted by the job that
+    writes them; the written table is not read again.
     """
     results = []
     for name, df in tables.items():
         path = f"{out_dir}/{name}.parquet"
         try:
             lowered = df.toDF(*[c.lower() for c in df.columns])
-            lowered.write.mode("overwrite").option("compression", "snappy").parquet(path)
-            written = read_table(df.sparkSession, path, lowered.schema).count()
-            results.append(ExportResult(name, written, table_bytes(df.sparkSession, path)))
+            written = Observation(f"export of {name}")
+            counted = lowered.observe(written, F.count(F.lit(1)).alias("rows"))
+            counted.write.mode("overwrite").option("compression", "snappy").parquet(path)
+            results.append(ExportResult(name, written.get["rows"], table_bytes(df.sparkSession, path)))
         except Exception as error:  # noqa: BLE001 - any failure of one table is part of the report
             results.append(ExportResult(name, 0, 0, str(error)))
     return results
@@ -147,9 +167,7 @@ def complete_versions(spark: SparkSession, base: str) -> list[int]:
     """The version folders that carry a success marker, oldest first."""
     if not table_exists(spark, base):
         return []
-    jvm_path, fs = _path(spark, base)
-    names = [status.getPath().getName() for status in fs.listStatus(jvm_path)]
-    found = [n for n in names if n.startswith("version=") and table_exists(spark, f"{base}/{n}/_SUCCESS")]
+    found = [n for n in list_folder(spark, base) if n.startswith("version=") and table_exists(spark, f"{base}/{n}/_SUCCESS")]
     return sorted(int(n.removeprefix("version=")) for n in found)
 
 
@@ -165,8 +183,7 @@ def publish_version(df: DataFrame, base: str) -> DataFrame:
     path = version_path(base, done[-1] + 1 if done else 1)
     df.write.mode("overwrite").parquet(path)
     for old in done[:-1]:
-        jvm_path, fs = _path(spark, version_path(base, old))
-        fs.delete(jvm_path, True)
+        remove_folder(spark, version_path(base, old))
     return read_table(spark, path, df.schema)
 
 
