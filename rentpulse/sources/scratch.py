@@ -45,4 +45,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch = path
+    return written
+
+
+def discard(*written: DataFrame) -> None:
+    """Remove tables of ``materialize`` that nothing reads any more: neither a plan nor a lost task's repetition.
+
+    For tables of past rounds, once what was computed from them is written itself.
+    """
+    for df in written:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
