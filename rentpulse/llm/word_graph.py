@@ -6,11 +6,15 @@ position near the end of its piece gives the shorter gram that is left. All shor
 node occurs as often as its outgoing edges weigh, plus its occurrences at piece ends; two words as often
 as the nodes they begin, plus theirs at piece ends; one word likewise.
 
+A phrase has no rarer word or pair of neighbours than itself. So words, and then pairs, are counted by
+their hashes first, and the graph is built of the frequent ones alone: a rare word or pair ends a piece
+as a full stop does. Tasks know the frequent ones by a bit map of fixed size; bits that are set by
+something else, and equal hashes, let a rare one through, which costs time and changes no count.
+
 Edges meet at their node's rarest-ranked word, and the neighbouring edges of a text that meet at the
 same word are a unary path, sent as one stretch of words with its weight rather than edge by edge. Words
 that are a large share of the corpus rank last, and a node of three such words meets by itself, so a
-frequent word or pair does not gather the corpus in one task. Which words these are decides where edges
-meet, never what is counted.
+frequent word or pair does not gather the corpus in one task.
 """
 
 from __future__ import annotations
@@ -18,10 +22,11 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rentpulse.llm.text_hash import mix, prefix_hashes, range_hashes
@@ -32,12 +37,16 @@ MIN_COUNT = 30
 TOP = 2000
 CONTAINED_PERCENT = 80
 SCALE = 2_000_000
-# A word that is more than this share of some task's words ranks last; so many such words at most.
+# A word that is more than this share of all words ranks last.
 HEAVY_SHARE = 1 / 2000
-MAX_HEAVY = 4096
+# Size of the bit maps of frequent words and pairs (2 MB each), and of the parts they are built in.
+MAP_BITS = 1 << 24
+_PART_BITS = 1 << 15
+# Bits of a pair's hash that tell pairs apart when they are counted.
+PAIR_BITS = 40
 # Text whose graph a worker builds at once, and distinct paths it holds before it sends them on.
-BYTES_AT_ONCE = 1 << 21
-PATHS_AT_ONCE = 200_000
+BYTES_AT_ONCE = 1 << 19
+PATHS_AT_ONCE = 60_000
 
 # Marks that end a piece, and the blanks between words.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
@@ -46,20 +55,66 @@ _NONE = np.uint64(np.iinfo(np.uint64).max)
 _LAST_RANK = np.uint64(1 << 63)
 
 
+class BitMap:
+    """A set of hashes, by the bits they fall on."""
+
+    def __init__(self, content: np.ndarray):
+        self.content = content
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        bit = hashes % np.uint64(8 * len(self.content))
+        return (self.content[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def bit_map(hashes: DataFrame, bits: int | None = None) -> BitMap:
+    """The bit map of the column ``hash``, of a power of two (MAP_BITS) bits; the driver receives that many."""
+    bits = bits or MAP_BITS
+    size = min(bits, _PART_BITS)
+
+    def filled(frame: pd.DataFrame) -> pd.DataFrame:
+        mask = np.zeros(size, bool)
+        mask[frame["bit"].to_numpy() % size] = True
+        return pd.DataFrame({"part": [frame["bit"].iloc[0] // size], "content": [np.packbits(mask, bitorder="little").tobytes()]})
+
+    found = hashes.select(F.expr(f"hash & {bits - 1}L").alias("bit")).distinct()
+    parts = found.groupBy(F.expr(f"bit div {size}")).applyInPandas(filled, "part long, content binary").collect()
+    content = np.zeros(bits // 8, np.uint8)
+    for r in parts:
+        content[r.part * size // 8 : (r.part + 1) * size // 8] = np.frombuffer(r.content, np.uint8)
+    return BitMap(content)
+
+
 class Words:
-    """The words of several texts: where they are, their hashes, and how many are left in their piece."""
+    """The words of several texts of one language: where they are, their hashes, and how many are left in their piece."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, lang: str, texts: list[str]):
         self.data = _BLANKS.sub(b" ", b"\n".join(t.encode("utf-8", "replace") for t in texts).translate(_FOLD))
         raw = np.frombuffer(self.data, np.uint8)
         inside = np.zeros(len(raw) + 2, np.int8)
         inside[1:-1] = (raw != 32) & (raw != 10)
         edge = np.flatnonzero(np.diff(inside))
         self.start, self.end = edge[::2], edge[1::2]
-        self.hashes = range_hashes(prefix_hashes(raw), self.start, self.end)
+        self.hashes = mix(range_hashes(prefix_hashes(raw), self.start, self.end) + np.uint64(crc32(lang.encode("utf-8", "replace"))))
         piece = np.cumsum(raw == 10)[self.start]
-        ends = np.flatnonzero(np.diff(piece, append=-1))
-        self.left = np.repeat(ends, np.diff(ends, prepend=-1)) - np.arange(len(piece)) + 1
+        self.left = self._left(np.diff(piece, append=-1) != 0)
+
+    def _left(self, ends: np.ndarray) -> np.ndarray:
+        """The number of words from each one to the end of its stretch, given which ones are the last."""
+        last = np.flatnonzero(ends)
+        return np.repeat(last, np.diff(last, prepend=-1)) - np.arange(len(ends)) + 1
+
+    def pairs(self) -> np.ndarray:
+        """The hash of each word and the next; of no meaning where the piece ends."""
+        return mix(self.hashes * np.uint64(0x9E3779B97F4A7C15) + np.roll(self.hashes, -1))
+
+    def prune(self, words: BitMap, pairs: BitMap | None = None) -> None:
+        """End the pieces at words and pairs that are not frequent, and forget such words."""
+        often = words.holds(self.hashes)
+        linked = (self.left > 1) & often & np.roll(often, -1)
+        if pairs is not None:
+            linked &= pairs.holds(self.pairs())
+        left = self._left(~linked)
+        self.start, self.end, self.hashes, self.left = (x[often] for x in (self.start, self.end, self.hashes, left))
 
     def paths(self, heavy: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
         """(meeting place, number of edges, stretch of words) of the unary paths; an edge starts at each word."""
@@ -87,8 +142,8 @@ class Words:
             yield at, number, self.data[a:b]
 
 
-def _portions(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, list[str]]]:
-    """Texts of one language, some BYTES_AT_ONCE characters at a time."""
+def _portions(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, Words]]:
+    """The words of one language's texts, some BYTES_AT_ONCE characters at a time."""
     for batch in batches:
         for lang, texts in batch.groupby("lang", sort=False)["text"]:
             held, size = [], 0
@@ -96,56 +151,66 @@ def _portions(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[str, list[str]]
                 held.append(text)
                 size += len(text) + 1
                 if size >= BYTES_AT_ONCE:
-                    yield lang, held
+                    yield lang, Words(lang, held)
                     held, size = [], 0
             if held:
-                yield lang, held
+                yield lang, Words(lang, held)
 
 
-def heavy_words(rows: DataFrame) -> np.ndarray:
-    """Hashes of the words that are a large share of some task's words, sorted; at most MAX_HEAVY."""
+def _word_counts(rows: DataFrame) -> DataFrame:
+    """lang, hash and n of the words."""
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept, counts, total = np.empty(0, np.uint64), np.empty(0, np.int64), 0
-        for _, texts in _portions(batches):
-            found, n = np.unique(Words(texts).hashes, return_counts=True)
-            total += int(n.sum())
-            kept, where = np.unique(np.concatenate([kept, found]), return_inverse=True)
-            counts = np.bincount(where, np.concatenate([counts, n]), len(kept)).astype(np.int64)
-            if len(kept) > 1 << 18:
-                often = counts > total * HEAVY_SHARE / 8
-                kept, counts = kept[often], counts[often]
-        often = counts > total * HEAVY_SHARE
-        yield pd.DataFrame({"word": kept[often].view(np.int64), "n": counts[often]})
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for lang, words in _portions(batches):
+            found, n = np.unique(words.hashes, return_counts=True)
+            yield pd.DataFrame({"lang": pd.Series([lang] * len(found), dtype=object), "hash": found.view(np.int64), "n": n})
 
-    found = rows.mapInPandas(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = found.orderBy(F.desc("n"), "word").limit(MAX_HEAVY).collect()
-    return np.sort(np.array([r.word for r in top], np.int64).view(np.uint64))
+    return rows.mapInPandas(run, "lang string, hash long, n long").groupBy("lang", "hash").agg(F.sum("n").alias("n"))
 
 
-def weighted_paths(rows: DataFrame, heavy: np.ndarray) -> DataFrame:
+def _pair_counts(rows: DataFrame, words: BitMap) -> DataFrame:
+    """hash and n of the pairs of frequent words, by the low PAIR_BITS bits of their hash, which fill fewer bytes.
+
+    Pairs that share these bits count together, so n may be too large, never too small.
+    """
+    mask = np.uint64((1 << PAIR_BITS) - 1)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, portion in _portions(batches):
+            portion.prune(words)
+            found, n = np.unique(portion.pairs()[portion.left > 1] & mask, return_counts=True)
+            yield pd.DataFrame({"hash": found.view(np.int64), "n": n})
+
+    return rows.mapInPandas(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def weighted_paths(rows: DataFrame, words: BitMap, pairs: BitMap, heavy: np.ndarray) -> DataFrame:
     """lang, meet (where its edges meet), path (words), edges (how many) and weight of the unary paths."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Paths of a word or two recur most: they are held apart, and longer.
+        short: Counter[tuple[str, int, int, bytes]] = Counter()
         held: Counter[tuple[str, int, int, bytes]] = Counter()
-        for lang, texts in _portions(batches):
-            held.update((lang, *path) for path in Words(texts).paths(heavy))
+        for lang, found in _portions(batches):
+            found.prune(words, pairs)
+            for path in found.paths(heavy):
+                (held if path[2].count(b" ") > 1 else short)[(lang, *path)] += 1
             if len(held) >= PATHS_AT_ONCE:
                 yield frame(held)
-                held = Counter()
+                held.clear()
+            if len(short) >= 2 * PATHS_AT_ONCE:
+                yield frame(short)
+                short.clear()
         yield frame(held)
+        yield frame(short)
 
     def frame(held: Counter) -> pd.DataFrame:
         lang, meet, edges, path = zip(*held, strict=True) if held else ((), (), (), ())
-        words = [p.decode("utf-8", "replace") for p in path]
-        text = {"lang": pd.Series(lang, dtype=object), "path": pd.Series(words, dtype=object)}
+        shown = [p.decode("utf-8", "replace") for p in path]
+        text = {"lang": pd.Series(lang, dtype=object), "path": pd.Series(shown, dtype=object)}
         return pd.DataFrame({**text, "meet": meet, "edges": edges, "weight": list(held.values())})
 
-    return rows.mapInPandas(run, "lang string, meet int, path string, edges int, weight long")
-
-
-def _first(phrase: str, words: int) -> Column:
-    return F.substring_index(phrase, " ", words)
+    return rows.mapInPandas(run, "lang string, path string, meet int, edges int, weight long")
 
 
 def _summed(rows: DataFrame, keys: list[str], records: str) -> DataFrame:
@@ -154,28 +219,38 @@ def _summed(rows: DataFrame, keys: list[str], records: str) -> DataFrame:
     return split.groupBy(*keys, "level", "phrase").agg(F.sum("f").alias("f"))
 
 
-def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """lang, level (number of words), phrase and f: all single words, and the longer phrases with f >= min_count.
+def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
+    """The phrases that occur min_count times or more, and the number of words per language.
 
-    Phrases are up to LONGEST words within pieces of the text; see the module for how the counts arise.
+    Phrases (lang, level, phrase, f) are of up to LONGEST words (level) within pieces of the text; see the
+    module for how their counts f arise. The other table has lang and n.
     """
     lang = F.coalesce(F.col("lang"), F.lit("und")).alias("lang")
     rows = docs.select(lang, "text").filter("text IS NOT NULL")
-    paths = weighted_paths(rows, heavy_words(rows)).repartition("meet")
-    words = paths.select("meet", "lang", "weight", "edges", F.split("path", " ").alias("words"))
-    edges = F.expr(
-        f"transform(sequence(1, edges), i -> struct(int(least({LONGEST}, size(words) - i + 1)) AS level, "
-        f"array_join(slice(words, i, {LONGEST}), ' ') AS phrase))"
+    found = materialize(_word_counts(rows), "words")
+    totals = materialize(found.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    words = bit_map(found.filter(F.col("n") >= min_count))
+    share = totals.agg((F.sum("n") * HEAVY_SHARE).alias("least"))
+    heavy = [r.hash for r in found.join(share, F.col("n") > F.col("least")).select("hash").collect()]  # under 1 / HEAVY_SHARE rows
+    heavy = np.sort(np.array(heavy, np.int64).view(np.uint64))
+    pairs = bit_map(_pair_counts(rows, words).filter(F.col("n") >= min_count))
+    paths = weighted_paths(rows, words, pairs, heavy).repartition("meet")
+    cut = paths.select("meet", "lang", "weight", F.split("path", " ").alias("words"), F.explode(F.expr("sequence(1, edges)")).alias("at"))
+    edges = cut.select(
+        "meet",
+        "lang",
+        F.expr(f"least({LONGEST}, size(words) - at + 1)").alias("level"),
+        F.expr(f"array_join(slice(words, at, {LONGEST}), ' ')").alias("phrase"),
+        "weight",
     )
-    counted = words.select("meet", "lang", "weight", F.explode(edges).alias("e")).select("meet", "lang", "weight", "e.*")
-    counted = counted.groupBy("meet", "lang", "level", "phrase").agg(F.sum("weight").alias("f"))
+    counted = edges.groupBy("meet", "lang", "level", "phrase").agg(F.sum("weight").alias("f"))
     own = f"if(level > 1 AND f < {min_count}, NULL, struct(level, phrase, f))"
     begun = "struct(least(level, {0}) AS level, substring_index(phrase, ' ', {0}) AS phrase, f)"
     # An edge adds its weight to its node; the rest of a piece is a node, or less, as it is.
     nodes = _summed(counted, ["meet", "lang"], f"{begun.format(3)}, if(level = 4, {own}, NULL)")
-    pairs = _summed(nodes.drop("meet"), ["lang"], f"if(level < 4, {begun.format(2)}, NULL), if(level > 2, {own}, NULL)")
-    singles = _summed(pairs, ["lang"], f"if(level < 3, {begun.format(1)}, NULL), if(level > 1, {own}, NULL)")
-    return materialize(singles, "phrases")
+    doubles = _summed(nodes.drop("meet"), ["lang"], f"if(level < 4, {begun.format(2)}, NULL), if(level > 2, {own}, NULL)")
+    singles = _summed(doubles, ["lang"], f"if(level < 3, {begun.format(1)}, NULL), if(level > 1, {own}, NULL)")
+    return materialize(singles.filter(F.col("f") >= min_count), "phrases"), totals
 
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) -> DataFrame:
@@ -188,8 +263,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     in at least CONTAINED_PERCENT of its occurrences is left out. Ties go to the larger a, then to the
     phrase that is first in byte order. An empty table has no phrases.
     """
-    counts = phrase_counts(docs, min_count)
-    often = counts.filter(F.col("f") >= min_count)
+    often, total = phrase_counts(docs, min_count)
     found = often.filter("level > 1").select("lang", "level", "phrase", F.col("f").alias("a"))
 
     def part(name: str, f: str) -> DataFrame:
@@ -207,7 +281,6 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP) ->
     kept = worst.join(holder, ["lang", "phrase"], "left").filter(
         f"whole IS NULL OR CAST(whole AS decimal(20, 0)) * 100 < CAST(a AS decimal(20, 0)) * {CONTAINED_PERCENT}"
     )
-    total = counts.filter("level = 1").groupBy("lang").agg(F.sum("f").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("worst.score"), F.desc("a"), "phrase")
     best = kept.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "worst.l", "worst.r", "n", "worst.score")

@@ -52,17 +52,20 @@ def made_rows(n=300):
     return rows
 
 
-@pytest.mark.parametrize("heavy_share", [1 / 2000, 1 / 10, 1.0])
-def test_counts(spark, heavy_share, monkeypatch):
-    """Whatever words count as heavy."""
+@pytest.mark.parametrize(("heavy_share", "bits"), [(1 / 2000, 1 << 24), (1 / 10, 1 << 15), (1.0, 1 << 15), (1 / 10, 8)])
+def test_counts(spark, heavy_share, bits, monkeypatch):
+    """Whatever words count as heavy, and however many rare ones the bit maps let through."""
     monkeypatch.setattr(word_graph, "HEAVY_SHARE", heavy_share)
+    monkeypatch.setattr(word_graph, "MAP_BITS", bits)
     monkeypatch.setattr(word_graph, "PATHS_AT_ONCE", 50)
     monkeypatch.setattr(word_graph, "BYTES_AT_ONCE", 500)
     rows = made_rows()
     docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
-    got = {(r.lang, r.phrase): r.f for r in word_graph.phrase_counts(docs, 5).collect()}
-    wanted = {(lang, p): c for lang, f in plain_counts(rows).items() for p, c in f.items() if c >= 5 or " " not in p}
-    assert got == wanted
+    phrases, totals = word_graph.phrase_counts(docs, 5)
+    plain = plain_counts(rows)
+    wanted = {(lang, p): c for lang, f in plain.items() for p, c in f.items() if c >= 5}
+    assert {(r.lang, r.phrase): r.f for r in phrases.collect()} == wanted
+    assert {r.lang: r.n for r in totals.collect()} == {lang: sum(c for p, c in f.items() if " " not in p) for lang, f in plain.items()}
 
 
 @pytest.mark.parametrize(("least", "top"), [(3, 2000), (10, 7)])
