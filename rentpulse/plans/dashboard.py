@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from rentpulse import rules as R
 from rentpulse.functions import labels as L
+from rentpulse.operators.joins import left_join_known
 
 FIRST_REVIEW_YEAR = 2015
 MIN_SCATTER_LISTINGS = 50
 MIN_RANKED_LISTINGS = 20
 
+# The columns of the extract, in their order.
 EXPORT_COLUMNS = [
     "listing_id",
     "city",
@@ -51,12 +53,8 @@ def listings_extract(fact: DataFrame, dim_neighbourhood: DataFrame, dim_listing:
     """Active listings of every stored snapshot with place and coordinates."""
     names = dim_neighbourhood.select("neighbourhood_id", "neighbourhood_cleansed")
     places = dim_listing.select("listing_id", "latitude", "longitude")
-    return (
-        fact.filter("is_active_listing")
-        .join(names, "neighbourhood_id", "left")
-        .join(places, "listing_id", "left")
-        .select(*EXPORT_COLUMNS)
-    )
+    named = left_join_known(fact.filter("is_active_listing"), names, ["neighbourhood_id"], "listing_id")
+    return named.join(places, "listing_id", "left").select(*EXPORT_COLUMNS)
 
 
 def _or_zero(col: Column) -> Column:

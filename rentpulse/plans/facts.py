@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rentpulse.operators.dedup import keep_first
+from rentpulse.operators.joins import left_join_known
 from rentpulse.plans.dims import neighbourhood_key, with_room_type_id
 from rentpulse.rules import RentalRules
 
@@ -71,7 +72,7 @@ def fact_listings(wide: DataFrame, dim_host: DataFrame, rules: RentalRules) -> D
     )
     unique = keep_first(rows, FACT_KEYS, [F.col("city").asc_nulls_last()])
     hosts = dim_host.select("host_id", "city", "host_sk", "host_profile")
-    return with_room_type_id(unique).join(hosts, ["host_id", "city"], "left").select(*FACT_COLUMNS)
+    return left_join_known(with_room_type_id(unique), hosts, ["host_id", "city"], "listing_id").select(*FACT_COLUMNS)
 
 
 def fact_reviews_monthly(reviews: DataFrame) -> DataFrame:

@@ -1,12 +1,13 @@
 import datetime as dt
 import random
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rentpulse import rules as R
-from rentpulse.operators import dedup, incremental, percentile, quality, scd2, winsorize
+from rentpulse.operators import dedup, incremental, joins, percentile, quality, scd2, winsorize
 from rentpulse.sources import tables
 
 
@@ -191,6 +192,19 @@ def test_scd2(spark):
     assert overlaps.isEmpty()
 
 
+def test_rows_without_a_key_are_spread(spark):
+    """A shuffled join deals them over all tasks, and gives what a plain join gives."""
+    left = spark.range(4000).selectExpr("id AS n", "if(id % 4 = 0, id % 50, NULL) AS k", "if(id % 3 = 0, NULL, 'c') AS city")
+    right = spark.range(40).selectExpr("id AS k", "'c' AS city", "concat('v', id) AS v").unionByName(
+        spark.createDataFrame([(None, "c", "none")], "k long, city string, v string")
+    )
+    got = joins.left_join_known(left, right.hint("merge"), ["k", "city"], "n")
+    assert got.columns == ["k", "city", "n", "v"]
+    assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, ["k", "city"], "left").collect()))
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(r"SortMergeJoin \[k#\d+L, city#\d+, __spread#\d+L\]", plan), plan
+
+
 def test_quality_checks(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (None, "a"), (2, None)], "k int, v string")
     assert rows(quality.null_counts(df, ["k", "v"])) == [("k", 2), ("v", 1)]
