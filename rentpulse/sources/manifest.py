@@ -1,12 +1,13 @@
 """Partitioned tables whose content is what a manifest lists, so that a load shows as a whole or not at all.
 
-Under the base folder, ``loads`` holds one folder per load, partitioned by the table's keys and never
-written again, and ``manifests`` one small table per version: the live partitions and the load folder
-each lies in. A version counts once Spark has put its success marker, the one file whose appearance swaps
+Under the base folder lies one folder per load, partitioned by the table's keys and never written again,
+and in ``_manifests`` one small table per version: the live partitions and the load folder each lies in.
+A version counts once Spark has put its success marker, the one file whose appearance swaps
 the old state for the new one. Readers take the newest version that counts; a load that dies before
 leaves folders that nothing refers to, which the next commit removes.
 
-One writer at a time. Readers may go on with the version before the newest; what only older ones
+A plain read of the base folder works, but also shows what is being written or not yet removed; it is no
+substitute for ``read_live``. One writer at a time. Readers may go on with the version before the newest; what only older ones
 refer to goes with the next commit.
 """
 
@@ -25,11 +26,7 @@ _FOLDER = "__folder"
 
 
 def _manifests(base: str) -> str:
-    return f"{base}/manifests"
-
-
-def _loads(base: str) -> str:
-    return f"{base}/loads"
+    return f"{base}/_manifests"
 
 
 def versions(spark: SparkSession, base: str) -> list[int]:
@@ -53,12 +50,12 @@ def read_live(
 ) -> DataFrame:
     """The rows of a version. The driver gets the list of partition folders, as it does for any partitioned table."""
     rows = live_partitions(spark, base, schema, keys, version).select(_FOLDER).toLocalIterator()
-    folders = [f"{_loads(base)}/{row[0]}" for row in rows]
+    folders = [f"{base}/{row[0]}" for row in rows]
     if not folders:
         return spark.createDataFrame([], schema)
     stored = [f for f in schema.fields if f.name not in keys]
     found = StructType([*stored, StructField("load", StringType()), *(schema[k] for k in keys)])
-    return spark.read.schema(found).option("basePath", _loads(base)).parquet(*folders).select(*schema.names)
+    return spark.read.schema(found).option("basePath", base).parquet(*folders).select(*schema.names)
 
 
 def commit_load(df: DataFrame, base: str, keys: Sequence[str], replaced: DataFrame | None = None) -> None:
@@ -71,7 +68,7 @@ def commit_load(df: DataFrame, base: str, keys: Sequence[str], replaced: DataFra
     done = versions(spark, base)
     number = done[-1] + 1 if done else 1
     load = f"load={number:08d}-{uuid.uuid4().hex[:8]}"
-    path = f"{_loads(base)}/{load}"
+    path = f"{base}/{load}"
     _sweep(spark, base, done, schema, keys)
     # The hint gathers a partition's rows into few files and splits one that is far larger than the others.
     df.hint("rebalance", *keys).write.partitionBy(*keys).parquet(path)
@@ -100,18 +97,20 @@ def _partitions_of(spark: SparkSession, path: str, load: str, schema: StructType
 
 def _sweep(spark: SparkSession, base: str, done: list[int], schema: StructType, keys: list[str]) -> None:
     """Remove the load folders, and the partitions of live loads, that no kept version refers to."""
-    if not table_exists(spark, _loads(base)):
+    if not table_exists(spark, base):
         return
     kept = [live_partitions(spark, base, schema, keys, v) for v in done[-2:]]
     live = {row[0] for part in kept for row in part.select(_FOLDER).toLocalIterator()}
     loads = {folder.split("/", 1)[0] for folder in live}
-    for load in list_folder(spark, _loads(base)):
+    for load in list_folder(spark, base):
+        if not load.startswith("load="):
+            continue
         if load not in loads:
-            remove_folder(spark, f"{_loads(base)}/{load}")
+            remove_folder(spark, f"{base}/{load}")
             continue
         levels = [load]
         for _ in keys:
-            levels = [f"{at}/{name}" for at in levels for name in list_folder(spark, f"{_loads(base)}/{at}") if "=" in name]
+            levels = [f"{at}/{name}" for at in levels for name in list_folder(spark, f"{base}/{at}") if "=" in name]
         for folder in levels:
             if folder not in live:
-                remove_folder(spark, f"{_loads(base)}/{folder}")
+                remove_folder(spark, f"{base}/{folder}")

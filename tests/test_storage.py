@@ -64,7 +64,7 @@ def die_at(monkeypatch, point):
 
         def half(base, version):
             path = written(base, version)
-            if base.endswith("manifests") and version == 2:
+            if base.endswith("_manifests") and version == 2:
                 tables_path = f"{path}/part-half.parquet"
                 import os
 
@@ -90,7 +90,7 @@ def test_a_load_that_dies_leaves_the_old_state(spark, tmp_path, monkeypatch, poi
     assert stored(spark, path) == sorted(FIRST)
     load(spark, path, SECOND)  # the next one goes through
     assert stored(spark, path) == BOTH
-    loads = tables.list_folder(spark, f"{path}/loads")
+    loads = [f for f in tables.list_folder(spark, path) if f.startswith("load=")]
     assert len(loads) == 2  # what the dead load wrote is gone
 
 
@@ -111,8 +111,8 @@ def test_superseded_partitions_go_after_their_last_reader_version(spark, tmp_pat
     load(spark, path, SECOND)
     for n in range(3):
         load(spark, path, [("n", day(f"08-0{n + 1}"), 100 + n, 1.0)])
-    first = next(f for f in tables.list_folder(spark, f"{path}/loads") if f.startswith("load=00000001"))
-    kept = [d for city in tables.list_folder(spark, f"{path}/loads/{first}") for d in tables.list_folder(spark, f"{path}/loads/{first}/{city}")]
+    first = next(f for f in tables.list_folder(spark, path) if f.startswith("load=00000001"))
+    kept = [d for city in tables.list_folder(spark, f"{path}/{first}") for d in tables.list_folder(spark, f"{path}/{first}/{city}")]
     assert kept == ["day=2026-07-03"]
     assert len(stored(spark, path)) == len(BOTH) + 3
 
@@ -122,7 +122,7 @@ def test_seen_partitions_come_from_the_manifest(spark, tmp_path):
     load(spark, path, FIRST)
     df = spark.createDataFrame(SECOND, FACT)
     seen = manifest.live_partitions(spark, path, df.schema, KEYS)
-    assert all("/manifests/" in file for file in seen.inputFiles())
+    assert all("/_manifests/" in file for file in seen.inputFiles())
     assert sorted(r.listing_id for r in incremental.unseen_partitions(df, seen, KEYS).collect()) == [1, 9]
 
 
