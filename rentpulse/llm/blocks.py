@@ -33,17 +33,23 @@ def paired_blocks(rows: DataFrame, key: str, member: str, block_rows: int) -> Da
     )
 
 
-def map_units(rows: DataFrame, unit: list[str], fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame], schema: str) -> DataFrame:
+def map_units(
+    rows: DataFrame,
+    unit: list[str],
+    fn: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame],
+    schema: str,
+    rows_at_once: int = _ROWS_AT_ONCE,
+) -> DataFrame:
     """Apply ``fn`` to frames of whole units, which most often hold many small ones.
 
-    ``fn`` gets the rows, sorted by unit, and an array that numbers the units from 0.
+    Units are put together up to some ``rows_at_once``. ``fn`` gets the rows, sorted by unit, and an array that numbers the units from 0.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parts: list[pd.DataFrame] = []
         for batch in batches:
             parts.append(batch)
-            if sum(map(len, parts)) < _ROWS_AT_ONCE:
+            if sum(map(len, parts)) < rows_at_once:
                 continue
             frame = pd.concat(parts, ignore_index=True) if len(parts) > 1 else batch
             number = _numbers(frame, unit)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentpulse.sources.scratch import materialize
+from rentpulse.sources.scratch import discard, materialize
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -13,8 +13,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large and small stars: every node links its larger neighbours, then its smaller ones,
     to the smallest node it knows. Both are a grouped minimum (combined before the shuffle) and a join
-    of the edges with it, so a hub is never gathered in one task. Each round is a written table. Loops
-    and repeated edges change nothing, edges with a NULL end are ignored.
+    of the edges with it, so a hub is never gathered in one task. Each round is a written table, which
+    goes once the next is written. Loops and repeated edges change nothing, edges with a NULL end are ignored.
     """
     edges = (
         edges.filter("a IS NOT NULL AND b IS NOT NULL AND a != b")
@@ -31,7 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = materialize(large, "edges")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = materialize(small.unionByName(low.withColumnRenamed("m", "b")).distinct(), "edges")
+        past, edges = edges, materialize(small.unionByName(low.withColumnRenamed("m", "b")).distinct(), "edges")
+        discard(past, large)
     roots = edges.select(F.col("b").alias("id")).distinct().withColumn("component", F.col("id"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
 

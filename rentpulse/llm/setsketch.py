@@ -9,8 +9,9 @@ the threshold are confirmed on the full sets.
 
 Equal sets are one node, so copies cost nothing beyond their first. Documents first meet the smallest
 document of the band they share most often; once components are known, only pairs across components
-are looked at, best estimates first. A large band group is compared in blocks, and what is emitted
-are single best partners until only the rest, across components still apart, is left to be listed.
+are looked at, best estimates first. A large band group is compared in blocks. First each node gives its
+single best partner; what is likely then, across components still apart, is confirmed inside the blocks,
+and a block gives the links that hold it together. Pairs are never listed.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from rentpulse.llm.blocks import map_units, neighbours_at, paired_blocks
 from rentpulse.llm.components import components
 from rentpulse.llm.text_hash import mix, prefix_hashes, range_hashes
-from rentpulse.sources.scratch import materialize
+from rentpulse.sources.scratch import discard, materialize
 
 SHINGLE_WORDS = 5
 PERCENT = 80
@@ -39,6 +40,8 @@ LAST = 4095
 # Pairs are confirmed if the estimate is at most so many standard errors below the threshold.
 SLACK = 4.5
 BLOCK_ROWS = 1500
+_PAIRS_AT_ONCE = 100_000  # pairs held before only the best are kept
+_UNIT = ["key", "lo", "hi"]
 _CHUNK = 4096  # set elements hashed at a time
 
 _rng = np.random.default_rng(43)
@@ -163,66 +166,146 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(joint("ra", "rb", "na", "nb") >= lowest_estimate(percent)).select("a", "b")
 
 
-def _across(bands: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int, all_pairs: bool) -> DataFrame:
-    """Likely pairs (a, b) of a band whose nodes are in different components: each node's best, or all.
-
-    A node's best is taken from components with a smaller label than its own: if those links hold, a group
-    of any size hangs together after one round. A pair counts in the first band it shares.
-    """
+def _units(bands: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The band groups whose nodes are in different components, in units: key, lo, hi, band, block, id, component, n, regs."""
     placed = bands.join(labels, "id", "left").select("band", "key", "id", F.coalesce("component", "id").alias("component"))
     apart = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key")
     rows = placed.join(apart, "key").join(nodes.select("id", "n", "regs"), "id")
-    least = lowest_estimate(percent)
-
-    def compare(frame: pd.DataFrame, unit: np.ndarray) -> pd.DataFrame:
-        ids, own, sizes = frame["id"].to_numpy(), frame["component"].to_numpy(), frame["n"].to_numpy(float)
-        block, whole = frame["block"].to_numpy(), (frame["lo"] == frame["hi"]).to_numpy()
-        band = frame["band"].to_numpy()
-        regs = np.frombuffer(b"".join(frame["regs"]), np.uint16).reshape(len(frame), REGISTERS)
-        found = []
-        for x, y in neighbours_at(unit):
-            apart = (own[x] != own[y]) & (whole[x] | (block[x] != block[y]))
-            apart &= 100 * np.minimum(sizes[x], sizes[y]) >= percent * np.maximum(sizes[x], sizes[y])
+    return paired_blocks(rows, "key", "id", BLOCK_ROWS).select(*_UNIT, "band", "block", "id", "component", "n", "regs")
+
+
+class _Unit:
+    """The rows of a few whole units, and which pairs of them may reach the threshold across components."""
+
+    def __init__(self, frame: pd.DataFrame, percent: int):
+        self.ids, self.own = frame["id"].to_numpy(), frame["component"].to_numpy()
+        self.sizes = frame["n"].to_numpy(float)
+        self.block, self.whole = frame["block"].to_numpy(), (frame["lo"] == frame["hi"]).to_numpy()
+        self.band = frame["band"].to_numpy() if "band" in frame else None
+        self.regs = np.frombuffer(b"".join(frame["regs"]), np.uint16).reshape(len(frame), REGISTERS)
+        self.percent, self.least = percent, lowest_estimate(percent)
+
+    def likely(self, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places x and y and the estimate of the likely pairs, some at a time.
+
+        Pairs share a band; in units of bands, a pair counts in the first it shares.
+        """
+        for x, y in neighbours_at(number):
+            apart = (self.own[x] != self.own[y]) & (self.whole[x] | (self.block[x] != self.block[y]))
+            small, large = np.minimum(self.sizes[x], self.sizes[y]), np.maximum(self.sizes[x], self.sizes[y])
+            apart &= 100 * small >= self.percent * large
             x, y = x[apart], y[apart]
-            above, below = (regs[x] > regs[y]).sum(1), (regs[x] < regs[y]).sum(1)
+            above, below = (self.regs[x] > self.regs[y]).sum(1), (self.regs[x] < self.regs[y]).sum(1)
             # An estimate is hardly above the share of equal registers.
-            close = REGISTERS - above - below >= (least - 0.05) * REGISTERS
+            close = REGISTERS - above - below >= (self.least - 0.05) * REGISTERS
             x, y, above, below = x[close], y[close], above[close], below[close]
-            shared = (regs[x] == regs[y]).reshape(-1, BANDS, BAND_ROWS).all(axis=2)
-            first = shared.argmax(axis=1) == band[x]
+            shared = (self.regs[x] == self.regs[y]).reshape(-1, BANDS, BAND_ROWS).all(axis=2)
+            first = shared.any(axis=1) if self.band is None else shared.argmax(axis=1) == self.band[x]
             x, y = x[first], y[first]
             if len(x):
-                j = estimate(above[first], below[first], sizes[x], sizes[y])
-                likely = j >= least
-                x, y = np.where(own[x] > own[y], x, y)[likely], np.where(own[x] > own[y], y, x)[likely]
-                found.append(pd.DataFrame({"a": ids[x], "b": ids[y], "j": j[likely]}))
-        if not found:
-            return pd.DataFrame({"a": [], "b": [], "j": []}).astype({"a": "int64", "b": "int64", "j": "float64"})
-        pairs = pd.concat(found, ignore_index=True)
-        if all_pairs:
-            return pairs
-        return pairs.sort_values(["j", "b"], ascending=[False, True]).drop_duplicates("a")
-
-    units = paired_blocks(rows, "key", "id", BLOCK_ROWS)
-    pairs = map_units(units, ["key", "lo", "hi"], compare, "a long, b long, j double")
-    if not all_pairs:
-        best = pairs.groupBy("a").agg(F.max(F.struct("j", (-F.col("b")).alias("other"))).alias("best"))
-        pairs = best.select("a", (-F.col("best.other")).alias("b"))
-    return pairs.select("a", "b")
+                j = estimate(above[first], below[first], self.sizes[x], self.sizes[y])
+                kept = j >= self.least
+                if kept.any():
+                    yield x[kept], y[kept], j[kept]
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets reach the threshold."""
+def _best_across(units: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each node with its likeliest partner from a component with a smaller label than its own.
+
+    If those links hold, a group of any size hangs together after one round.
+    """
+
+    def compare(frame: pd.DataFrame, number: np.ndarray) -> pd.DataFrame:
+        unit = _Unit(frame, percent)
+        found = pd.DataFrame({"a": [], "b": [], "j": []}).astype({"a": "int64", "b": "int64", "j": "float64"})
+        held, size = [found], 0
+
+        def best() -> pd.DataFrame:
+            return pd.concat(held, ignore_index=True).sort_values(["j", "b"], ascending=[False, True]).drop_duplicates("a")
+
+        for x, y, j in unit.likely(number):
+            up = unit.own[x] > unit.own[y]
+            held.append(pd.DataFrame({"a": unit.ids[np.where(up, x, y)], "b": unit.ids[np.where(up, y, x)], "j": j}))
+            size += len(x)
+            if size > _PAIRS_AT_ONCE:
+                held, size = [best()], 0
+        return best()
+
+    pairs = map_units(units, _UNIT, compare, "a long, b long, j double")
+    best = pairs.groupBy("a").agg(F.max(F.struct("j", (-F.col("b")).alias("other"))).alias("best"))
+    return best.select("a", (-F.col("best.other")).alias("b"))
+
+
+class _Forest:
+    """Which of some places hang together."""
+
+    def __init__(self, places: int):
+        self.root = list(range(places))
+
+    def find(self, k: int) -> int:
+        while self.root[k] != k:
+            self.root[k] = self.root[self.root[k]]
+            k = self.root[k]
+        return k
+
+    def join(self, i: int, k: int) -> bool:
+        """Whether they were apart."""
+        a, b = self.find(i), self.find(k)
+        self.root[a] = b
+        return a != b
+
+
+def _rest_across(units: DataFrame, nodes: DataFrame, labels: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) that join what any link across components joins, confirmed on the full sets.
+
+    The likely pairs are found twice and never listed: first a unit gives what holds its likely pairs together,
+    fewer edges than it has nodes; then the clusters of these edges are compared in blocks of their own,
+    with the sets at hand, so a set is sent once for each block of its cluster rather than for each band.
+    Pairs that hang together by links already confirmed need no look.
+    """
+
+    def hang_together(frame: pd.DataFrame, number: np.ndarray) -> pd.DataFrame:
+        unit, forest, edges = _Unit(frame, percent), _Forest(len(frame)), []
+        for x, y, _ in unit.likely(number):
+            edges += [(unit.ids[i], unit.ids[k]) for i, k in zip(x.tolist(), y.tolist(), strict=True) if forest.join(i, k)]
+        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
+
+    def confirm(frame: pd.DataFrame, number: np.ndarray) -> pd.DataFrame:
+        unit, sets, forest, links = _Unit(frame, percent), frame["elements"].to_numpy(), _Forest(len(frame)), []
+        for x, y, _ in unit.likely(number):
+            for i, k in zip(x.tolist(), y.tolist(), strict=True):
+                if forest.find(i) == forest.find(k):
+                    continue
+                both = len(np.intersect1d(sets[i], sets[k], assume_unique=True))
+                if 100 * both >= percent * (len(sets[i]) + len(sets[k]) - both):
+                    forest.join(i, k)
+                    links.append((unit.ids[i], unit.ids[k]))
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
+
+    edges = map_units(units, _UNIT, hang_together, "a long, b long")
+    clusters = materialize(components(edges).withColumnRenamed("component", "cluster"), "clusters")
+    own = clusters.join(nodes, "id").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    sets = _sets(docs, clusters.select("id"), words)
+    blocks = paired_blocks(own.join(sets, "id"), "cluster", "id", BLOCK_ROWS).withColumnRenamed("cluster", "key")
+    return map_units(blocks, _UNIT, confirm, "a long, b long", rows_at_once=400)
+
+
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """The shingle sets (id, elements) of the documents with these ids, as a written table."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(text, words).view(np.int64) for text in batch["text"]]
             yield pd.DataFrame({"id": batch["id"].array, "elements": pd.Series(sets, dtype=object)})
 
+    texts = docs.select(F.col("doc_id").alias("id"), "text").join(ids, "id")
+    return materialize(texts.mapInPandas(run, "id long, elements array<long>"), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
     pairs = materialize(pairs, "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(F.col("doc_id").alias("id"), "text").join(needed, "id")
-    sets = materialize(texts.mapInPandas(run, "id long, elements array<long>"), "sets")
+    sets = _sets(docs, pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().toDF("id"), words)
     one = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
     met = pairs.join(one, "a").join(two, "b").select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("both"))
@@ -246,19 +329,18 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     links = same.select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     bands = materialize(_bands(nodes), "bands")
     crowded = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("key")
-    bands = materialize(bands.join(crowded, "key"), "crowded")
+    whole, bands = bands, materialize(bands.join(crowded, "key"), "crowded")
+    discard(whole)
     links = links.unionByName(_confirmed(_likely(_first_partners(bands, percent), nodes, percent), docs, words, percent))
     links = materialize(links, "links")
     labels = materialize(components(links), "labels")
-    for all_pairs in (False, True):
-        more = _confirmed(_across(bands, nodes, labels, percent, all_pairs), docs, words, percent)
+    for last in (False, True):
+        units = _units(bands, nodes, labels)
+        more = _rest_across(units, nodes, labels, docs, words, percent) if last else _confirmed(_best_across(units, percent), docs, words, percent)
         more = materialize(more, "links")
-        if more.isEmpty():
-            if all_pairs:
-                break
-            continue
-        links = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
-        labels = materialize(components(links), "labels")
+        if not more.isEmpty():
+            links = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
+            labels = materialize(components(links), "labels")
     met = found.select("doc_id", "n_shingles").join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return met.select(

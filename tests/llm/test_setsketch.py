@@ -105,3 +105,15 @@ def test_components_of_awkward_graphs(spark):
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 20: 20, 30: 20}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_likely_pairs_that_do_not_hold(spark, monkeypatch):
+    """A large group at a similarity below the threshold, among it a few links that only full sets can tell."""
+    monkeypatch.setattr(setsketch, "BLOCK_ROWS", 16)
+    common = [f"c{i}" for i in range(200)]
+    rows = [(i, " ".join(common + [f"o{i}x{k}" for k in range(28)])) for i in range(90)]
+    rows += [(500 + i, " ".join(common + [f"o{i}x{k}" for k in range(23)] + [f"p{i}x{k}" for k in range(5)])) for i in range(0, 90, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = plain_components({d: plain_set(t) for d, t in rows})
+    assert {d: c for d, (_, c, _) in result(setsketch.near_duplicates(df, words=2)).items()} == expected
+    assert len(set(expected.values())) == 90
