@@ -6,10 +6,11 @@ position near the end of its piece gives the shorter gram that is left. All shor
 node occurs as often as its outgoing edges weigh, plus its occurrences at piece ends; two words as often
 as the nodes they begin, plus theirs at piece ends; one word likewise.
 
-A phrase has no rarer word or pair of neighbours than itself. So words, and then pairs, are counted by
-their hashes first, and the graph is built of the frequent ones alone: a rare word or pair ends a piece
-as a full stop does. Tasks know the frequent ones by a bit map of fixed size; bits that are set by
-something else, and equal hashes, let a rare one through, which costs time and changes no count.
+A phrase holds no word, pair or three neighbours rarer than itself. So words, pairs and threes are
+counted by their hashes first, and the graph is built of the frequent ones alone: a gram ends before the
+word that would make it hold a rare one, as it does at the end of a piece. Tasks know the frequent ones
+by bit maps of fixed size; bits that are set by something else, and equal hashes, let a rare one
+through, which costs time and changes no count.
 
 Edges meet at their node's rarest-ranked word, and the neighbouring edges of a text that meet at the
 same word are a unary path, sent as one stretch of words with its weight rather than edge by edge. Words
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -39,11 +40,11 @@ CONTAINED_PERCENT = 80
 SCALE = 2_000_000
 # A word that is more than this share of all words ranks last.
 HEAVY_SHARE = 1 / 2000
-# Size of the bit maps of frequent words and pairs (2 MB each), and of the parts they are built in.
+# Size of the bit maps of frequent words, pairs and threes (2 MB each), and of the parts they are built in.
 MAP_BITS = 1 << 24
 _PART_BITS = 1 << 15
-# Bits of a pair's hash that tell pairs apart when they are counted.
-PAIR_BITS = 40
+# Bits of a hash that tell pairs, and threes, apart when they are counted.
+COUNT_BITS = 40
 # Text whose graph a worker builds at once, and distinct paths it holds before it sends them on.
 BYTES_AT_ONCE = 1 << 19
 PATHS_AT_ONCE = 60_000
@@ -107,6 +108,10 @@ class Words:
         """The hash of each word and the next; of no meaning where the piece ends."""
         return mix(self.hashes * np.uint64(0x9E3779B97F4A7C15) + np.roll(self.hashes, -1))
 
+    def threes(self) -> np.ndarray:
+        """The hash of each word and the next two; of no meaning where the piece ends."""
+        return mix(self.pairs() * np.uint64(0x9E3779B97F4A7C15) + np.roll(self.hashes, -2))
+
     def prune(self, words: BitMap, pairs: BitMap | None = None) -> None:
         """End the pieces at words and pairs that are not frequent, and forget such words."""
         often = words.holds(self.hashes)
@@ -116,7 +121,15 @@ class Words:
         left = self._left(~linked)
         self.start, self.end, self.hashes, self.left = (x[often] for x in (self.start, self.end, self.hashes, left))
 
-    def paths(self, heavy: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    def grams(self, threes: BitMap) -> np.ndarray:
+        """How many words the gram from each word on has: as many as hold no rare three."""
+        often = (self.left > 2) & threes.holds(self.threes())
+        size = np.minimum(self.left, LONGEST)
+        size[(size > 2) & ~often] = 2
+        size[(size > 3) & ~np.roll(often, -1)] = 3
+        return size
+
+    def paths(self, heavy: np.ndarray, threes: BitMap) -> Iterator[tuple[int, int, bytes]]:
         """(meeting place, number of edges, stretch of words) of the unary paths; an edge starts at each word."""
         n = len(self.start)
         if not n:
@@ -125,18 +138,20 @@ class Words:
         if len(heavy):
             place = np.minimum(np.searchsorted(heavy, self.hashes), len(heavy) - 1)
             rank[heavy[place] == self.hashes] |= _LAST_RANK
+        size = self.grams(threes)
         meet, node = rank.copy(), np.zeros(n, np.uint64)
         for k in range(LONGEST - 1):
-            there = np.flatnonzero(self.left > k)
+            there = np.flatnonzero(size > k)
             meet[there] = np.minimum(meet[there], rank[there + k])
             node[there] = mix(node[there] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[there + k])
         meet = np.where(meet >= _LAST_RANK, node, meet) & np.uint64(0x7FFFFFFF)
+        upto = np.arange(n) + size
         first = np.ones(n, bool)
-        first[1:] = (meet[1:] != meet[:-1]) | (self.left[:-1] == 1)
+        # The grams of a path have LONGEST words or end with it.
+        first[1:] = (meet[1:] != meet[:-1]) | ((size[:-1] < LONGEST) & (upto[1:] != upto[:-1]))
         begin = np.flatnonzero(first)
         edges = np.diff(begin, append=n)
-        last = begin + edges - 1
-        stop = self.end[last + np.minimum(LONGEST, self.left[last]) - 1]
+        stop = self.end[upto[begin + edges - 1] - 1]
         rows = zip(meet[begin].tolist(), edges.tolist(), self.start[begin].tolist(), stop.tolist(), strict=True)
         for at, number, a, b in rows:
             yield at, number, self.data[a:b]
@@ -168,23 +183,24 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, "lang string, hash long, n long").groupBy("lang", "hash").agg(F.sum("n").alias("n"))
 
 
-def _pair_counts(rows: DataFrame, words: BitMap) -> DataFrame:
-    """hash and n of the pairs of frequent words, by the low PAIR_BITS bits of their hash, which fill fewer bytes.
+def _frequent(rows: DataFrame, hashes: Callable[[Words], np.ndarray], min_count: int) -> BitMap:
+    """The bit map of what the function finds in the rows' words min_count times or more.
 
-    Pairs that share these bits count together, so n may be too large, never too small.
+    Counted by the low COUNT_BITS bits of the hashes, which fill fewer bytes. What shares these bits counts
+    together, so a count may be too large, never too small.
     """
-    mask = np.uint64((1 << PAIR_BITS) - 1)
+    mask = np.uint64((1 << COUNT_BITS) - 1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, portion in _portions(batches):
-            portion.prune(words)
-            found, n = np.unique(portion.pairs()[portion.left > 1] & mask, return_counts=True)
+            found, n = np.unique(hashes(portion) & mask, return_counts=True)
             yield pd.DataFrame({"hash": found.view(np.int64), "n": n})
 
-    return rows.mapInPandas(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    counts = rows.mapInPandas(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    return bit_map(counts.filter(F.col("n") >= min_count))
 
 
-def weighted_paths(rows: DataFrame, words: BitMap, pairs: BitMap, heavy: np.ndarray) -> DataFrame:
+def weighted_paths(rows: DataFrame, words: BitMap, pairs: BitMap, threes: BitMap, heavy: np.ndarray) -> DataFrame:
     """lang, meet (where its edges meet), path (words), edges (how many) and weight of the unary paths."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -193,7 +209,7 @@ def weighted_paths(rows: DataFrame, words: BitMap, pairs: BitMap, heavy: np.ndar
         held: Counter[tuple[str, int, int, bytes]] = Counter()
         for lang, found in _portions(batches):
             found.prune(words, pairs)
-            for path in found.paths(heavy):
+            for path in found.paths(heavy, threes):
                 (held if path[2].count(b" ") > 1 else short)[(lang, *path)] += 1
             if len(held) >= PATHS_AT_ONCE:
                 yield frame(held)
@@ -233,8 +249,18 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     share = totals.agg((F.sum("n") * HEAVY_SHARE).alias("least"))
     heavy = [r.hash for r in found.join(share, F.col("n") > F.col("least")).select("hash").collect()]  # under 1 / HEAVY_SHARE rows
     heavy = np.sort(np.array(heavy, np.int64).view(np.uint64))
-    pairs = bit_map(_pair_counts(rows, words).filter(F.col("n") >= min_count))
-    paths = weighted_paths(rows, words, pairs, heavy).repartition("meet")
+
+    def two(portion: Words) -> np.ndarray:
+        portion.prune(words)
+        return portion.pairs()[portion.left > 1]
+
+    def three(portion: Words) -> np.ndarray:
+        portion.prune(words, pairs)
+        return portion.threes()[portion.left > 2]
+
+    pairs = _frequent(rows, two, min_count)
+    threes = _frequent(rows, three, min_count)
+    paths = weighted_paths(rows, words, pairs, threes, heavy).repartition("meet")
     cut = paths.select("meet", "lang", "weight", F.split("path", " ").alias("words"), F.explode(F.expr("sequence(1, edges)")).alias("at"))
     edges = cut.select(
         "meet",
@@ -246,7 +272,7 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     counted = edges.groupBy("meet", "lang", "level", "phrase").agg(F.sum("weight").alias("f"))
     own = f"if(level > 1 AND f < {min_count}, NULL, struct(level, phrase, f))"
     begun = "struct(least(level, {0}) AS level, substring_index(phrase, ' ', {0}) AS phrase, f)"
-    # An edge adds its weight to its node; the rest of a piece is a node, or less, as it is.
+    # An edge adds its weight to its node; a shorter gram is a node, or less, as it is.
     nodes = _summed(counted, ["meet", "lang"], f"{begun.format(3)}, if(level = 4, {own}, NULL)")
     doubles = _summed(nodes.drop("meet"), ["lang"], f"if(level < 4, {begun.format(2)}, NULL), if(level > 2, {own}, NULL)")
     singles = _summed(doubles, ["lang"], f"if(level < 3, {begun.format(1)}, NULL), if(level > 1, {own}, NULL)")
