@@ -11,7 +11,8 @@ vector per language and task: the model has languages x DIMENSIONS numbers, what
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from statistics import NormalDist
 
@@ -25,8 +26,11 @@ GRAM = 3
 SEED = 20011
 # Languages whose prototypes may be sent to every task (1024 doubles each).
 MAX_LANGUAGES = 2000
-# N-gram vectors kept by one Python worker (1 KB each).
+# N-gram vectors kept by one Python worker (1 KB each), and added up at a time.
 CACHED_GRAMS = 30_000
+GRAMS_AT_ONCE = 4096
+# Characters whose n-grams or letters are counted at a time.
+CHARS_AT_ONCE = 1 << 19
 # Of the texts in no learned language, the share that may pass the bar by chance.
 CHANCE = 0.001
 # Distinct n-grams below which a text's own language may leave it under the bar.
@@ -91,8 +95,9 @@ class GramVectors:
     def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Sum of the n-grams' vectors, each as often as it occurs."""
         total = np.zeros(self.dimensions, np.float64)
-        for at in range(0, len(codes), CACHED_GRAMS):
-            total += self._bundle(codes[at : at + CACHED_GRAMS].tolist(), counts[at : at + CACHED_GRAMS])
+        some = min(GRAMS_AT_ONCE, CACHED_GRAMS)
+        for at in range(0, len(codes), some):
+            total += self._bundle(codes[at : at + some].tolist(), counts[at : at + some])
         return total
 
     def _bundle(self, codes: list[int], counts: np.ndarray) -> np.ndarray:
@@ -116,6 +121,19 @@ def _vectors() -> GramVectors:
     return GramVectors()
 
 
+def _stretches(texts: Iterable[str]) -> Iterator[list[str]]:
+    """The texts, some CHARS_AT_ONCE characters at a time."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= CHARS_AT_ONCE:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def train(labelled: DataFrame) -> dict[str, np.ndarray]:
     """Centred prototypes of unit length per language, from rows (text, lang).
 
@@ -128,10 +146,12 @@ def train(labelled: DataFrame) -> dict[str, np.ndarray]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                found = [grams(text) for text in texts]
-                codes, inverse = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
-                counts = np.bincount(inverse, np.concatenate([n for _, n in found]), len(codes))
-                sums[lang] = sums.get(lang, 0) + vectors.bundle(codes, counts)
+                for some in _stretches(texts):
+                    found = [grams(text) for text in some]
+                    codes, inverse = np.unique(np.concatenate([c for c, _ in found]), return_inverse=True)
+                    counts = np.bincount(inverse, np.concatenate([n for _, n in found]), len(codes))
+                    sums[lang] = sums.get(lang, 0) + vectors.bundle(codes, counts)
+        _vectors.cache_clear()  # the worker may serve other tasks
         for lang, total in sums.items():
             yield pd.DataFrame({"lang": lang, "k": np.arange(DIMENSIONS), "v": np.rint(total).astype(np.int64)})
 
@@ -176,6 +196,7 @@ def judge(prototypes: dict[str, np.ndarray]) -> Callable[[Column], Column]:
                 k = int(np.argmax(near))
                 out.append((languages[k], float(min(1.0, max(0.0, near[k])))))
             yield pd.DataFrame(out, columns=["lang_pred", "score"])
+        _vectors.cache_clear()
 
     return best
 
@@ -194,9 +215,13 @@ def alphabet(labelled: DataFrame) -> np.ndarray:
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, texts in batch.groupby("lang")["text"]:
-                codes = np.concatenate([_codes(text) for text in texts])
-                found, n = np.unique(codes[_letters()[codes]], return_counts=True)
-                yield pd.DataFrame({"lang": lang, "code": found, "n": n})
+                letters: Counter[int] = Counter()
+                for text in texts:
+                    for at in range(0, len(text), CHARS_AT_ONCE):
+                        codes = _codes(text[at : at + CHARS_AT_ONCE])
+                        found, n = np.unique(codes[_letters()[codes]], return_counts=True)
+                        letters.update(dict(zip(found.tolist(), n.tolist(), strict=True)))
+                yield pd.DataFrame({"lang": lang, "code": list(letters), "n": list(letters.values())}).astype({"code": "int64", "n": "int64"})
 
     rows = labelled.filter("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     counts = rows.mapInPandas(partial, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
@@ -229,5 +254,6 @@ def speaks(prototypes: dict[str, np.ndarray], letters: np.ndarray) -> Callable[[
     def judged(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield batch.map(known).astype(bool)
+        _vectors.cache_clear()
 
     return judged
