@@ -91,5 +91,5 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 
 def test_every_operator_is_registered():
-    assert [f"op{n}_" for n in range(1, 11)] == sorted({k.split("_")[0] + "_" for k in entry.queries() if k.startswith("op")}, key=lambda k: int(k[2:-1]))
+    assert [f"op{n}_" for n in range(1, 14)] == sorted({k.split("_")[0] + "_" for k in entry.queries() if k.startswith("op")}, key=lambda k: int(k[2:-1]))
     assert "pipeline" in entry.queries()
