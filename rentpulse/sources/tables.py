@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rentpulse.sources.scratch import materialize
 
+# Rows that a task of a reload sorts and writes.
+ROWS_PER_TASK = 200_000
+
 
 def _path(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -44,17 +48,25 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``.
+def overwrite_partitions(df: DataFrame, path: str, group_col: str, counts: Mapping[str, int]) -> None:
+    """Replace exactly the partitions of the counted groups, by the rows of ``df``, which has no others.
 
-    The rebalance hint gathers each partition's rows into few files while splitting a
-    partition that is far larger than the others over several tasks.
+    Tasks take about ROWS_PER_TASK rows, of one group or of small ones side by side: each row draws a place
+    among those of its group. Wide rows that are mostly NULL are far larger in memory than when shuffled,
+    so the sizes of a shuffle do not bound what a task holds.
     """
+    before = [0, *accumulate(counts.values())]
+    places = [(group, first, n) for (group, n), first in zip(counts.items(), before, strict=False)]
+    kind = StructType([df.schema[group_col], StructField("_first", LongType()), StructField("_n", LongType())])
+    place = F.col("_first") + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col("_n"))
+    task = F.floor(place / ROWS_PER_TASK).cast("int")
+    dealt = df.join(F.broadcast(df.sparkSession.createDataFrame(places, kind)), group_col).withColumn("_task", task)
     (
-        df.hint("rebalance", *partition_by)
+        dealt.repartitionById(-(-before[-1] // ROWS_PER_TASK), "_task")
+        .select(*df.columns)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
+        .partitionBy(group_col)
         .parquet(path)
     )
 
@@ -99,7 +111,7 @@ def reload_group(
     if empty and not allow_empty:
         raise ValueError(f"no incoming rows for {group_col} in {empty}; all stored rows kept")
     if counted:
-        overwrite_partitions(incoming, path, [group_col])
+        overwrite_partitions(incoming, path, group_col, counted)
     if empty and table_exists(spark, path):
         named = spark.createDataFrame([(g,) for g in empty], f"{group_col} string")
         drop_partitions(spark, path, named, df.schema)

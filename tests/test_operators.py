@@ -253,6 +253,19 @@ def test_reload_group(spark, tmp_path):
     assert stored() == [("4", "y")]
 
 
+def test_reload_tasks_take_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """Also of groups that are far larger than others; small groups share a task."""
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100, raising=False)
+    path = str(tmp_path / "bronze")
+    df = spark.range(1000).selectExpr("id", "if(id < 960, 'x', concat('y', id % 20)) AS city", "cast(NULL AS string) AS none").repartition(1)
+    groups = ["x", *[f"y{i}" for i in range(20)]]
+    assert sum(tables.reload_group(df, path, "city", groups).values()) == 1000
+    stored = tables.read_table(spark, path, df.schema).withColumn("file", F.col("_metadata.file_name"))
+    assert rows(stored, "id", "city", "none") == rows(df, "id", "city", "none")
+    assert max(r["count"] for r in stored.groupBy("file").count().collect()) < 150
+    assert stored.select(F.substring("file", 1, 10)).distinct().count() == 10
+
+
 def test_export_reports_failures_and_goes_on(spark, tmp_path):
     good = spark.createDataFrame([(1, "a"), (2, "b")], "ID int, Name string")
     bad = good.select(F.raise_error(F.lit("broken")).alias("x"))
