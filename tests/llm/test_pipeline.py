@@ -93,3 +93,15 @@ def test_query_matches_sql(spark, sf_dir, name):
 def test_every_operator_is_registered():
     assert [f"op{n}_" for n in range(1, 14)] == sorted({k.split("_")[0] + "_" for k in entry.queries() if k.startswith("op")}, key=lambda k: int(k[2:-1]))
     assert "pipeline" in entry.queries()
+
+
+@pytest.mark.parametrize("stage", [stage for _, stage in pipeline.STAGES])
+def test_workers_get_batches_of_bounded_bytes(spark, documents, sf_dir, stage):
+    """Long texts come in batches of fewer rows; what a worker holds does not follow the length of the texts."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    stage(spark, documents.limit(20), sf_dir)
+    long = spark.range(0, 3000, 1, 1).selectExpr("repeat('some text ', 500) AS text")
+    sizes = long.mapInPandas(lambda batches: (b.assign(n=len(b)).drop(columns="text") for b in batches), "n long")
+    assert sizes.agg({"n": "max"}).first()[0] * 5000 <= pipeline.BATCH_BYTES + 5000
+    rows = [r.n for r in sizes.collect()]
+    assert len(rows) == 3000
