@@ -13,7 +13,8 @@ by bit maps of fixed size; bits that are set by something else, and equal hashes
 through, which costs time and changes no count.
 
 Edges meet at their node's rarest-ranked word, and the neighbouring edges of a text that meet at the
-same word are a unary path, sent as one stretch of words with its weight rather than edge by edge. Words
+same word are a unary path, sent as one stretch of words with its weight rather than edge by edge. Paths
+travel packed, by shares of the meeting places, and the edges of a share are summed where they meet. Words
 that are a large share of the corpus rank last, and a node of three such words meets by itself, so a
 frequent word or pair does not gather the corpus in one task.
 """
@@ -21,7 +22,8 @@ frequent word or pair does not gather the corpus in one task.
 from __future__ import annotations
 
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from zlib import crc32
 
@@ -38,8 +40,9 @@ MIN_COUNT = 30
 TOP = 2000
 CONTAINED_PERCENT = 80
 SCALE = 2_000_000
-# A word that is more than this share of all words ranks last.
+# A word that is more than this share of all words, or occurs more often than this, ranks last.
 HEAVY_SHARE = 1 / 2000
+HEAVY_COUNT = 1 << 18
 # Size of the bit maps of frequent words, pairs and threes (2 MB each), and of the parts they are built in.
 MAP_BITS = 1 << 24
 _PART_BITS = 1 << 15
@@ -48,6 +51,9 @@ COUNT_BITS = 40
 # Text whose graph a worker builds at once, and distinct paths it holds before it sends them on.
 BYTES_AT_ONCE = 1 << 19
 PATHS_AT_ONCE = 60_000
+# Bytes of paths a worker holds before it packs them, and words of the corpus whose paths are summed together.
+PACKED_AT_ONCE = 1 << 24
+WORDS_PER_SHARE = 1 << 20
 
 # Marks that end a piece, and the blanks between words.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz \n\n\n\n\n\n\n\n\n")
@@ -200,33 +206,92 @@ def _frequent(rows: DataFrame, hashes: Callable[[Words], np.ndarray], min_count:
     return bit_map(counts.filter(F.col("n") >= min_count))
 
 
-def weighted_paths(rows: DataFrame, words: BitMap, pairs: BitMap, threes: BitMap, heavy: np.ndarray) -> DataFrame:
-    """lang, meet (where its edges meet), path (words), edges (how many) and weight of the unary paths."""
+def weighted_paths(rows: DataFrame, words: BitMap, pairs: BitMap, threes: BitMap, heavy: np.ndarray, shares: int = 1) -> DataFrame:
+    """lang, share and paths: the unary paths, dealt to shares by where their edges meet, packed.
+
+    ``paths`` is deflated and has two lists of lines: paths (words, tab, number of edges) that occur once in
+    what was packed, then, behind an empty line, others with a further tab and their weight.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Paths of a word or two recur most: they are held apart, and longer.
         short: Counter[tuple[str, int, int, bytes]] = Counter()
         held: Counter[tuple[str, int, int, bytes]] = Counter()
+        lists: defaultdict[tuple[str, int], tuple[list[bytes], list[bytes]]] = defaultdict(lambda: ([], []))
+        size = 0
         for lang, found in _portions(batches):
             found.prune(words, pairs)
             for path in found.paths(heavy, threes):
                 (held if path[2].count(b" ") > 1 else short)[(lang, *path)] += 1
-            if len(held) >= PATHS_AT_ONCE:
-                yield frame(held)
-                held.clear()
-            if len(short) >= 2 * PATHS_AT_ONCE:
-                yield frame(short)
-                short.clear()
-        yield frame(held)
-        yield frame(short)
+            for counts, limit in ((held, PATHS_AT_ONCE), (short, 2 * PATHS_AT_ONCE)):
+                if len(counts) >= limit:
+                    size += listed(counts, lists)
+                    counts.clear()
+            if size >= PACKED_AT_ONCE:
+                yield packed(lists)
+                lists.clear()
+                size = 0
+        listed(held, lists)
+        listed(short, lists)
+        yield packed(lists)
+
+    def listed(counts: Counter, lists: defaultdict) -> int:
+        fresh: defaultdict[tuple[str, int], tuple[list[bytes], list[bytes]]] = defaultdict(lambda: ([], []))
+        for (lang, meet, edges, path), weight in counts.items():
+            once, often = fresh[lang, meet % shares]
+            if weight == 1:
+                once.append(b"%b\t%d" % (path, edges))
+            else:
+                often.append(b"%b\t%d\t%d" % (path, edges, weight))
+        size = 0
+        for key, both in fresh.items():
+            for lines, into in zip(both, lists[key], strict=True):
+                if lines:
+                    into.append(b"\n".join(lines))  # one value takes less than its lines
+                    size += len(into[-1])
+        return size
 
-    def frame(held: Counter) -> pd.DataFrame:
-        lang, meet, edges, path = zip(*held, strict=True) if held else ((), (), (), ())
-        shown = [p.decode("utf-8", "replace") for p in path]
-        text = {"lang": pd.Series(lang, dtype=object), "path": pd.Series(shown, dtype=object)}
-        return pd.DataFrame({**text, "meet": meet, "edges": edges, "weight": list(held.values())})
+    def packed(lists: defaultdict) -> pd.DataFrame:
+        out = []
+        for (lang, share), both in lists.items():
+            # Neighbours in order begin alike and deflate to less.
+            once, often = (b"\n".join(sorted(b"\n".join(lines).split(b"\n"))) for lines in both)
+            out.append((lang, share, zlib.compress(once + b"\n\n" + often, 1)))
+        return pd.DataFrame(out, columns=["lang", "share", "paths"]).astype({"lang": object, "share": "int32", "paths": object})
 
-    return rows.mapInPandas(run, "lang string, path string, meet int, edges int, weight long")
+    return rows.mapInPandas(run, "lang string, share int, paths binary")
+
+
+def node_counts(paths: DataFrame, min_count: int) -> DataFrame:
+    """lang, level, phrase and f of the nodes and shorter grams, and of the edges that weigh min_count or more.
+
+    All edges of a node meet in one share; a share has the paths that start at some WORDS_PER_SHARE words on average.
+    """
+
+    def summed(frame: pd.DataFrame) -> pd.DataFrame:
+        weights: Counter[bytes] = Counter()
+        for content in frame["paths"]:
+            once, often = zlib.decompress(content).split(b"\n\n")
+            weights.update(once.split(b"\n") if once else ())
+            for line in often.split(b"\n") if often else ():
+                path, weight = line.rsplit(b"\t", 1)
+                weights[path] += int(weight)
+        edges: defaultdict[bytes, int] = defaultdict(int)
+        nodes: defaultdict[bytes, int] = defaultdict(int)
+        for line, weight in weights.items():
+            path, number = line.split(b"\t")
+            words = path.split(b" ")
+            for at in range(int(number)):
+                gram = words[at : at + LONGEST]
+                if len(gram) == LONGEST:
+                    edges[b" ".join(gram)] += weight
+                nodes[b" ".join(gram[: LONGEST - 1])] += weight
+        kept = [*nodes.items(), *((phrase, f) for phrase, f in edges.items() if f >= min_count)]
+        phrases = pd.Series([phrase.decode("utf-8", "replace") for phrase, _ in kept], dtype=object)
+        levels = np.array([phrase.count(b" ") + 1 for phrase, _ in kept], np.int32)
+        return pd.DataFrame({"lang": frame["lang"].iloc[0], "level": levels, "phrase": phrases, "f": np.array([f for _, f in kept], np.int64)})
+
+    return paths.groupBy("lang", "share").applyInPandas(summed, "lang string, level int, phrase string, f long")
 
 
 def _summed(rows: DataFrame, keys: list[str], records: str) -> DataFrame:
@@ -246,8 +311,8 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
     found = materialize(_word_counts(rows), "words")
     totals = materialize(found.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     words = bit_map(found.filter(F.col("n") >= min_count))
-    share = totals.agg((F.sum("n") * HEAVY_SHARE).alias("least"))
-    heavy = [r.hash for r in found.join(share, F.col("n") > F.col("least")).select("hash").collect()]  # under 1 / HEAVY_SHARE rows
+    share = totals.agg(F.least(F.sum("n") * HEAVY_SHARE, F.lit(float(HEAVY_COUNT))).alias("least"))
+    heavy = [r.hash for r in found.join(share, F.col("n") > F.col("least")).select("hash").collect()]  # under 1 / HEAVY_SHARE rows, or a word in HEAVY_COUNT
     heavy = np.sort(np.array(heavy, np.int64).view(np.uint64))
 
     def two(portion: Words) -> np.ndarray:
@@ -260,21 +325,13 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT) -> tuple[DataFram
 
     pairs = _frequent(rows, two, min_count)
     threes = _frequent(rows, three, min_count)
-    paths = weighted_paths(rows, words, pairs, threes, heavy).repartition("meet")
-    cut = paths.select("meet", "lang", "weight", F.split("path", " ").alias("words"), F.explode(F.expr("sequence(1, edges)")).alias("at"))
-    edges = cut.select(
-        "meet",
-        "lang",
-        F.expr(f"least({LONGEST}, size(words) - at + 1)").alias("level"),
-        F.expr(f"array_join(slice(words, at, {LONGEST}), ' ')").alias("phrase"),
-        "weight",
-    )
-    counted = edges.groupBy("meet", "lang", "level", "phrase").agg(F.sum("weight").alias("f"))
+    corpus = totals.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    shares = 1 << (int(corpus) // WORDS_PER_SHARE).bit_length()
+    # An edge adds its weight to its node; a shorter gram is a node, or less, as it is.
+    nodes = node_counts(weighted_paths(rows, words, pairs, threes, heavy, shares), min_count)
     own = f"if(level > 1 AND f < {min_count}, NULL, struct(level, phrase, f))"
     begun = "struct(least(level, {0}) AS level, substring_index(phrase, ' ', {0}) AS phrase, f)"
-    # An edge adds its weight to its node; a shorter gram is a node, or less, as it is.
-    nodes = _summed(counted, ["meet", "lang"], f"{begun.format(3)}, if(level = 4, {own}, NULL)")
-    doubles = _summed(nodes.drop("meet"), ["lang"], f"if(level < 4, {begun.format(2)}, NULL), if(level > 2, {own}, NULL)")
+    doubles = _summed(nodes, ["lang"], f"if(level < 4, {begun.format(2)}, NULL), if(level > 2, {own}, NULL)")
     singles = _summed(doubles, ["lang"], f"if(level < 3, {begun.format(1)}, NULL), if(level > 1, {own}, NULL)")
     return materialize(singles.filter(F.col("f") >= min_count), "phrases"), totals
 

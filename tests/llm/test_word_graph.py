@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -75,6 +76,23 @@ def test_collocations(spark, least, top):
     assert sorted(map(tuple, word_graph.collocations(docs, least, top).collect())) == plain_collocations(rows, least, top)
 
 
+def test_paths_travel_packed(spark, monkeypatch):
+    """Whatever the number of paths, a worker sends a row per share and language each time it packs; counts stay."""
+    monkeypatch.setattr(word_graph, "WORDS_PER_SHARE", 500)
+    rows = made_rows(2000)
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(1)
+    full = word_graph.BitMap(np.full(1 << 10, 255, np.uint8))
+    named = docs.selectExpr("coalesce(lang, 'und') AS lang", "text").filter("text IS NOT NULL")
+    sent = word_graph.weighted_paths(named, full, full, full, np.empty(0, np.uint64), 8)
+    assert sent.count() <= 3 * 8
+    for hold in (1 << 24, 2000):
+        monkeypatch.setattr(word_graph, "PACKED_AT_ONCE", hold)
+        monkeypatch.setattr(word_graph, "PATHS_AT_ONCE", 60_000 if hold > 2000 else 100)
+        phrases, _ = word_graph.phrase_counts(docs, 5)
+        wanted = {(lang, p): c for lang, f in plain_counts(rows).items() for p, c in f.items() if c >= 5}
+        assert {(r.lang, r.phrase): r.f for r in phrases.collect()} == wanted
+
+
 def test_scores_are_exact(spark):
     """Beyond 64 bits, where doubles round."""
     a, l, r = 9 * 10**15 + 1, 10**16 + 3, 10**16 + 7
