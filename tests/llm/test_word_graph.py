@@ -93,6 +93,21 @@ def test_paths_travel_packed(spark, monkeypatch):
         assert {(r.lang, r.phrase): r.f for r in phrases.collect()} == wanted
 
 
+def test_words_beyond_a_count_rank_last(spark, monkeypatch):
+    """Whatever their share; the counts stay."""
+    rows = made_rows()
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(3)
+    wanted = {(lang, p): c for lang, f in plain_counts(rows).items() for p, c in f.items() if c >= 5}
+    monkeypatch.setattr(word_graph, "HEAVY_SHARE", 1.0)
+    seen, paths = [], word_graph.weighted_paths
+    monkeypatch.setattr(word_graph, "weighted_paths", lambda *a: seen.append(len(a[4])) or paths(*a))
+    for most in (1 << 18, 20):
+        monkeypatch.setattr(word_graph, "HEAVY_COUNT", most)
+        phrases, _ = word_graph.phrase_counts(docs, 5)
+        assert {(r.lang, r.phrase): r.f for r in phrases.collect()} == wanted
+    assert seen[0] == 0 and seen[1] > 5
+
+
 def test_scores_are_exact(spark):
     """Beyond 64 bits, where doubles round."""
     a, l, r = 9 * 10**15 + 1, 10**16 + 3, 10**16 + 7
